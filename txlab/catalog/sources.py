@@ -106,16 +106,17 @@ def _digest(name: str) -> str:
     return f"md5(event_id::VARCHAR || ':42:{name}')"
 
 
-def _normal(name: str) -> str:
-    d = _digest(name)
-    return f"(sqrt(-2e0 * ln(1e0 - {sql_uniform(d)})) * cos(6.283185307179586e0 * {sql_uniform(d, 1)}))"
+def _normal(name: str, which: int = 0) -> str:
+    d, pair = _digest(name), 2 * (which // 2)
+    turn = "sin" if which % 2 else "cos"
+    return f"(sqrt(-2e0 * ln(1e0 - {sql_uniform(d, pair)})) * {turn}(6.283185307179586e0 * {sql_uniform(d, pair + 1)}))"
 
 
 @query("synthetic_transactions", f"""
   SELECT event_id, floor({sql_uniform(_digest("Time"))} * 172800)::DOUBLE AS "Time",
          round(exp(4.5e0 + 1.2e0 * {_normal("Amount")}), 2) AS "Amount", """ + ", ".join(
-    f"""round({_normal(v)} + CASE WHEN {sql_uniform(_digest("noisy"))} < 0.16e0 THEN {_normal(v + "+")} * 0.5e0 ELSE 0e0 END, 6) AS "{v}" """
-    for v in FEATURES) + " FROM events")
+    f"""round({_normal(f"V{i // 4}", i % 4)} + CASE WHEN {sql_uniform(_digest("noisy"))} < 0.16e0
+        THEN {_normal(f"noise{i // 4}", i % 4)} * 0.5e0 ELSE 0e0 END, 6) AS "{v}" """ for i, v in enumerate(FEATURES)) + " FROM events")
 def synthetic_transactions(spark, folder):
     """One synthetic transaction per event key."""
     rows = synthetic.synthetic_transactions(table(spark, folder, "events"), "event_id")

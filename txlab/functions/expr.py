@@ -55,10 +55,12 @@ def uniform(hex_digest: Column, block: int = 0) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def normal(hex_digest: Column) -> Column:
-    """A standard normal number from one digest (Box-Muller on its first two blocks)."""
-    radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - uniform(hex_digest, 0)))
-    return radius * F.cos(F.lit(6.283185307179586) * uniform(hex_digest, 1))
+def normal(hex_digest: Column, which: int = 0) -> Column:
+    """One of four standard normal numbers in a digest (Box-Muller on its two pairs of blocks)."""
+    pair, part = divmod(which, 2)
+    radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - uniform(hex_digest, 2 * pair)))
+    angle = F.lit(6.283185307179586) * uniform(hex_digest, 2 * pair + 1)
+    return radius * (F.sin(angle) if part else F.cos(angle))
 
 
 def logistic(z: Column) -> Column:

@@ -29,15 +29,46 @@ def target_correlation(df: DataFrame, label: str, top_n: int = 15) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows ``(a, b, r)`` for every pair in column order, from one aggregate."""
-    pairs = list(combinations(columns, 2))
+    """Rows ``(a, b, r)`` for every pair in column order; NULL where a column is constant.
+
+    The first aggregate gives size, mean and spread of every column (bounded by the width of
+    the table); the second sums products of standardised values, one sum per pair.
+    """
     if len(columns) > MAX_PAIRWISE:
         return _wide_pairs(df, columns)
-    row = df.agg(*[_r(present(df, a).cast("double"), present(df, b).cast("double")).alias(f"r{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)])))
+    value = {c: present(df, c).cast("double") for c in columns}
+    facts = df.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.struct(F.count(value[c]), F.avg(value[c]), F.stddev_pop(value[c])).alias(c) for c in columns]).first()
+    rows = facts["rows"]
+    z, full = {}, {}
+    for c in columns:
+        n, mean, spread = facts[c]
+        full[c] = n == rows
+        z[c] = (value[c] - F.lit(mean)) / F.lit(spread) if n and spread else None
+    pairs, sums = list(combinations(columns, 2)), []
+    for i, (a, b) in enumerate(pairs):
+        if z[a] is None or z[b] is None:
+            continue
+        sums.append(F.sum(z[a] * z[b]).alias(f"xy{i}"))
+        if not (full[a] and full[b]):  # sums over the rows that have both values
+            x, y = F.when(z[b].isNotNull(), z[a]), F.when(z[a].isNotNull(), z[b])
+            sums += [F.count(z[a] * z[b]).alias(f"n{i}"), F.sum(x).alias(f"x{i}"), F.sum(y).alias(f"y{i}"),
+                     F.sum(x * x).alias(f"xx{i}"), F.sum(y * y).alias(f"yy{i}")]
+
+    def r(i, a, b):
+        if z[a] is None or z[b] is None:
+            return F.lit(None).cast("double")
+        if full[a] and full[b]:
+            return F.col(f"xy{i}") / F.lit(float(rows))
+        n, x, y = F.col(f"n{i}").cast("double"), F.col(f"x{i}"), F.col(f"y{i}")
+        both = F.col(f"xy{i}") - F.try_divide(x * y, n)
+        spread_x, spread_y = (F.col(f"{k}{k}{i}") - F.try_divide(v * v, n) for k, v in (("x", x), ("y", y)))
+        return F.try_divide(both, F.sqrt(spread_x) * F.sqrt(spread_y))
+
+    if not sums:
+        return df.sparkSession.createDataFrame([(a, b, None) for a, b in pairs], "a string, b string, r double")
+    return df.agg(*sums).select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r(i, a, b).alias("r")) for i, (a, b) in enumerate(pairs)])))
 
 
 def _wide_pairs(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .ranks import running_totals
 
 ACCURACY = 10_000
+ONE_TASK_ROWS = 2_000_000  # most rows of a bracket that are ranked in one task
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -36,48 +37,43 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataF
     misses is opened to the whole column, so the answer never depends on the sketch.
     """
     probs = [float(p) for p in probs]
-    brackets = _brackets(df, columns, probs)
-    below = _count_below(df, brackets)
-    spans = []
-    for (feature, prob, low, high), (under, upto, total) in zip(brackets, below):
+    spark = df.sparkSession
+    known, spans = [], []
+    for feature, prob, low, high, under, upto, total in _bracketed(df, columns, probs):
         if total == 0:
             continue
         first, last = _wanted(prob, total)
         if not (under <= first and last < upto):
-            low, high, under = -math.inf, math.inf, 0
-        spans.append((feature, prob, low, high, under, first, last))
-    spark = df.sparkSession
+            low, high, under, upto = -math.inf, math.inf, 0, total
+        if low == high:  # both ranks hold the same value, as in columns with few distinct values
+            known.append((feature, prob, low))
+        else:
+            spans.append((feature, prob, low, high, under, first, last, prob * (total - 1) - first, upto - under))
+    done = spark.createDataFrame(known, "feature string, prob double, value double")
     if not spans:
-        return spark.createDataFrame([], "feature string, prob double, value double")
+        return done
 
     # one row per cell that falls in a bracket; brackets of one column may overlap
-    by_feature = {}
-    for i, span in enumerate(spans):
-        by_feature.setdefault(span[0], []).append((i, span))
-    cells = [
-        F.when(_clean(c).between(F.lit(s[2]), F.lit(s[3])), F.struct(F.lit(i).alias("span"), _clean(c).alias("value")))
-        for c, items in by_feature.items() for i, s in items
-    ]
-    inside = df.select(F.inline(F.filter(F.array(*cells), lambda cell: cell.isNotNull())))
+    cells = F.array(*[
+        F.when(_clean(s[0]).between(F.lit(s[2]), F.lit(s[3])),
+               F.struct(F.lit(i).alias("span"), _clean(s[0]).alias("value")))
+        for i, s in enumerate(spans)])
+    inside = df.select(F.inline(F.array_compact(cells)))
     counted = inside.groupBy("span", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counted, "value", ["n"], by=["span"])
-
-    lookup = F.broadcast(spark.createDataFrame(
-        [(i, s[0], s[1], s[4], s[5], s[6], _fraction(s[1], total_of(below, brackets, s))) for i, s in enumerate(spans)],
+    if max(s[8] for s in spans) <= ONE_TASK_ROWS:
+        upto_here = Window.partitionBy("span").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = counted.withColumn("cum_n", F.sum("n").over(upto_here))
+    else:
+        ranked = running_totals(counted, "value", ["n"], by=["span"])
+
+    lookup = F.broadcast(spark.createDataFrame(  # a row per column and probability
+        [(i, s[0], s[1], s[4], s[5], s[6], s[7]) for i, s in enumerate(spans)],
         "span int, feature string, prob double, under long, first long, last long, frac double"))
     upto = F.col("under") + F.col("cum_n")
-    start = upto - F.col("n")
-    hits = ranked.join(lookup, "span").where((start <= F.col("last")) & (F.col("first") < upto))
-    ends = hits.groupBy("feature", "prob", "frac").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"))
-    return ends.select("feature", "prob", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("value"))
-
-
-def total_of(below, brackets, span):
-    for (feature, prob, _, _), (_, _, total) in zip(brackets, below):
-        if feature == span[0] and prob == span[1]:
-            return total
-    raise KeyError(span)
+    hits = ranked.join(lookup, "span").where((upto - F.col("n") <= F.col("last")) & (F.col("first") < upto))
+    ends = hits.groupBy("feature", "prob", "frac").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")
+    return ends.select("feature", "prob", value.alias("value")).unionByName(done)
 
 
 def _wanted(prob: float, total: int) -> tuple[int, int]:
@@ -86,32 +82,23 @@ def _wanted(prob: float, total: int) -> tuple[int, int]:
     return math.floor(position), math.ceil(position)
 
 
-def _fraction(prob: float, total: int) -> float:
-    position = prob * (total - 1)
-    return position - math.floor(position)
-
+def _bracketed(df: DataFrame, columns: list[str], probs: list[float]) -> list[tuple]:
+    """``(column, prob, low, high, values below low, values up to high, values)`` per wanted quantile.
 
-def _brackets(df: DataFrame, columns: list[str], probs: list[float]) -> list[tuple]:
-    """A sketch per column; rows x 2 per probability, bounded by the table's width."""
+    Two aggregates whose results are bounded by the width of the table.
+    """
     slack = 3.0 / ACCURACY
     asked = [edge for p in probs for edge in (max(0.0, p - slack), min(1.0, p + slack))]
-    row = df.agg(*[F.percentile_approx(_clean(c), asked, ACCURACY).alias(f"q{i}")
-                   for i, c in enumerate(columns)]).first()
-    out = []
+    sketch = df.agg(*[F.percentile_approx(_clean(c), asked, ACCURACY).alias(f"q{i}")
+                      for i, c in enumerate(columns)]).first()
+    brackets = []
     for i, c in enumerate(columns):
+        edges = sketch[f"q{i}"]
         for j, p in enumerate(probs):
-            edges = row[f"q{i}"]
             low, high = (edges[2 * j], edges[2 * j + 1]) if edges else (-math.inf, math.inf)
-            out.append((c, p, low, high))
-    return out
-
-
-def _count_below(df: DataFrame, brackets: list[tuple]) -> list[tuple[int, int, int]]:
-    """Per bracket: values below it, values up to its end, values in the column."""
-    aggregates = []
-    for i, (c, _, low, high) in enumerate(brackets):
-        v = _clean(c)
-        aggregates += [F.count_if(v < F.lit(low)).alias(f"u{i}"), F.count_if(v <= F.lit(high)).alias(f"h{i}"),
-                       F.count(v).alias(f"t{i}")]
-    row = df.agg(*aggregates).first()
-    return [(row[f"u{i}"], row[f"h{i}"], row[f"t{i}"]) for i in range(len(brackets))]
+            brackets.append((c, p, low, high))
+    counts = df.agg(
+        *[F.count(_clean(c)).alias(f"t_{c}") for c in columns],
+        *[F.count_if(_clean(c) < F.lit(low)).alias(f"u{i}") for i, (c, _, low, _) in enumerate(brackets)],
+        *[F.count_if(_clean(c) <= F.lit(high)).alias(f"h{i}") for i, (c, _, _, high) in enumerate(brackets)]).first()
+    return [(*b, counts[f"u{i}"], counts[f"h{i}"], counts[f"t_{b[0]}"]) for i, b in enumerate(brackets)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import attach_small, freeze
+from ..session import freeze
 
 PART = "_part"
 
@@ -13,11 +13,12 @@ def running_totals(df: DataFrame, order: str, measures: list[str], by: list[str]
                    descending: bool = False) -> DataFrame:
     """Add ``cum_<m>`` (running total up to and including the row) and ``all_<m>`` per group ``by``.
 
-    Rows must be unique per ``by`` + ``order``: pre-aggregate first, which also
-    collapses any value shared by many rows. The frame is range-partitioned on
-    ``by`` + ``order`` and written once; the totals of each range are a small table
-    (at most ranges + groups rows) whose running sum becomes the starting offset of
-    the range. No task ever holds more than one range.
+    Rows must be unique per ``by`` + ``order``, and ``by`` not NULL: pre-aggregate first,
+    which also collapses any value shared by many rows. The frame is range-partitioned on
+    ``by`` + ``order`` and written once; the totals of each range are a small table (at most
+    ranges + groups rows) whose running sum becomes the starting offset of the range. No
+    task holds more than one range, and the final join needs no shuffle of its own: it has
+    the keys by which the running totals inside a range are already partitioned and sorted.
     """
     by = list(by or [])
     direction = F.col(order).desc() if descending else F.col(order).asc()
@@ -27,16 +28,15 @@ def running_totals(df: DataFrame, order: str, measures: list[str], by: list[str]
     part_totals = held.groupBy(*by, PART).agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
     before = Window.partitionBy(*by).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
+    zero = {m: F.lit(0).cast(part_totals.schema[f"_t_{m}"].dataType) for m in measures}
     offsets = part_totals.select(
         *by, PART,
-        *[F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0).cast(part_totals.schema[f"_t_{m}"].dataType))
-          .alias(f"_off_{m}") for m in measures],
+        *[F.coalesce(F.sum(f"_t_{m}").over(before), zero[m]).alias(f"_off_{m}") for m in measures],
         *[F.sum(f"_t_{m}").over(whole).alias(f"all_{m}") for m in measures],
     )
     inside = Window.partitionBy(*by, PART).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
     local = held.select("*", *[F.sum(m).over(inside).alias(f"_loc_{m}") for m in measures])
-    joined = attach_small(local, offsets, [*by, PART])
-    return joined.select(
+    return local.join(offsets, [*by, PART]).select(
         *df.columns,
         *[(F.col(f"_loc_{m}") + F.col(f"_off_{m}")).alias(f"cum_{m}") for m in measures],
         *[F.col(f"all_{m}") for m in measures],

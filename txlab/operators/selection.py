@@ -12,52 +12,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import hash_hex
-from ..session import SMALL_ROWS, attach_small, freeze, small_rows
+from ..session import attach_small
 
 PREFIX_DIGITS = 4  # 65,536 prefixes per class
 
 
-def hash_cuts(df: DataFrame, key: str, label: str, wanted: dict[str, Column], seed: int = 42) -> DataFrame:
-    """One row per class: ``<label>, n, <name>_hash, <name>_key`` for every wanted row count.
+def hash_cuts(df: DataFrame, key: str, label: str, wanted: dict[str, Column], seed: int = 42,
+              balanced: bool = False) -> DataFrame:
+    """One row per class with any row selected: ``<label>, <name>_hash, <name>_key`` for every wanted count.
 
-    ``wanted`` maps a name to an expression over ``n`` (rows of the class), ``n_min`` and
-    ``n_max`` (smallest and largest class). The first that many rows of the class, ordered
-    by hash and key, are those with ``(hash, key) <= cut``. A count below one leaves the
-    cut NULL (nothing selected); one of ``n`` or more selects the class up to its last row.
+    ``wanted`` maps a name to an expression over ``n`` (rows of the class) and, if ``balanced``,
+    ``n_min`` and ``n_max`` (smallest and largest class). The first that many rows of the
+    class, ordered by hash and key, are those with ``(hash, key) <= cut``. A count below one
+    leaves the cut NULL (nothing selected); one of ``n`` or more selects the whole class.
     """
     rows = df.select(F.col(label).alias("_label"), F.col(key).alias("_key"), hash_hex(key, seed).alias("_hash"))
-    counts = freeze(
-        rows.groupBy("_label", F.substring("_hash", 1, PREFIX_DIGITS).alias("_prefix"))
-        .agg(F.count(F.lit(1)).alias("_c")), "prefixes")
-    classes = counts.groupBy("_label").agg(F.sum("_c").alias("n"))
-    sizes = classes.agg(F.struct(F.min("n").alias("n_min"), F.max("n").alias("n_max")).alias("s"))
-    classes = classes.withColumn("_s", sizes.scalar()).select("_label", "n", "_s.n_min", "_s.n_max")
-    targets = classes.select("_label", "n", F.explode(F.array(*[
+    prefix = F.substring("_hash", 1, PREFIX_DIGITS)
+    counts = rows.groupBy("_label", prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_c"))
+    sizes = counts.groupBy("_label").agg(F.sum("_c").alias("n")).agg(
+        F.struct(F.min("n").alias("n_min"), F.max("n").alias("n_max")).alias("s")).scalar()
+    per_class = Window.partitionBy("_label")
+    upto = per_class.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.select("_label", "_prefix", "_c", F.sum("_c").over(upto).alias("_cum"),
+                            F.sum("_c").over(per_class).alias("n"))
+    if balanced:
+        running = running.withColumn("_s", sizes).select("*", "_s.n_min", "_s.n_max")
+    targets = F.array(*[
         F.struct(F.lit(name).alias("name"), F.least(expr.cast("long"), F.col("n")).alias("m"))
-        for name, expr in wanted.items()])).alias("t")).select("_label", "n", "t.name", "t.m")
-
-    upto = Window.partitionBy("_label").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
-    running = counts.withColumn("_cum", F.sum("_c").over(upto))
-    boundary = attach_small(running, targets, ["_label"], how="inner").where(
+        for name, expr in wanted.items()])
+    boundary = running.select("_label", "_prefix", "_c", "_cum", F.inline(targets)).where(
         (F.col("m") > F.col("_cum") - F.col("_c")) & (F.col("m") <= F.col("_cum"))
     ).select("_label", "_prefix", "name", (F.col("m") - F.col("_cum") + F.col("_c")).alias("need"))
 
-    prefixed = rows.withColumn("_prefix", F.substring("_hash", 1, PREFIX_DIGITS))
+    prefixed = rows.withColumn("_prefix", prefix)
     ranked = attach_small(prefixed, boundary, ["_label", "_prefix"], how="inner").withColumn(
         "_rn", F.row_number().over(Window.partitionBy("_label", "name").orderBy("_hash", "_key")))
-    cuts = ranked.where(F.col("_rn") == F.col("need")).select("_label", "name", "_hash", "_key")
-    wide = classes.select(F.col("_label").alias("_c_label"), "n").join(
-        cuts, F.col("_c_label").eqNullSafe(F.col("_label")), "left").groupBy("_c_label", "n").agg(*[
-            F.max(F.when(F.col("name") == name, F.struct("_hash", "_key"))).alias(f"_cut_{i}")
-            for i, name in enumerate(wanted)])
-    return wide.select(F.col("_c_label").alias(label), "n", *[
-        F.col(f"_cut_{i}.{part}").alias(f"{name}{part}")
-        for i, name in enumerate(wanted) for part in ("_hash", "_key")])
+    cuts = ranked.where(F.col("_rn") == F.col("need"))
+    return cuts.groupBy(F.col("_label").alias(label)).agg(*[
+        F.max(F.when(F.col("name") == name, F.col(part))).alias(f"{name}{part}")
+        for name in wanted for part in ("_hash", "_key")])
 
 
-def with_cuts(df: DataFrame, key: str, label: str, wanted: dict[str, Column], seed: int = 42) -> DataFrame:
+def with_cuts(df: DataFrame, key: str, label: str, wanted: dict[str, Column], seed: int = 42,
+              balanced: bool = False) -> DataFrame:
     """``df`` with a boolean column per wanted name: is the row among the first that many of its class?"""
-    cuts = hash_cuts(df, key, label, wanted, seed)
+    cuts = hash_cuts(df, key, label, wanted, seed, balanced)
     marked = attach_small(df.withColumn("_h", hash_hex(key, seed)), cuts, [label])
     flags = [
         F.coalesce(
@@ -70,5 +69,3 @@ def with_cuts(df: DataFrame, key: str, label: str, wanted: dict[str, Column], se
 def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
-
-__all__ = ["PREFIX_DIGITS", "SMALL_ROWS", "class_counts", "hash_cuts", "small_rows", "with_cuts"]

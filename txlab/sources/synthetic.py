@@ -23,13 +23,19 @@ def synthetic_transactions(keys: DataFrame, key: str, seed: int = 42, noisy_shar
     def digest(name):
         return hash_hex(key, seed, name)
 
-    noisy = uniform(digest("noisy")) < F.lit(float(noisy_share))
-    columns = [F.floor(uniform(digest("Time")) * SECONDS).cast("double").alias("Time")]
-    for v in FEATURES:
-        extra = F.when(noisy, normal(digest(f"{v}+")) * EXTRA_NOISE).otherwise(0.0)
-        columns.append((normal(digest(v)) + extra).alias(v))
+    def normals(prefix):
+        """28 normal numbers, four from each of seven digests."""
+        digests = F.transform(F.sequence(F.lit(0), F.lit(len(FEATURES) // 4 - 1)),
+                              lambda g: digest(F.concat(F.lit(prefix), g.cast("string"))))
+        return F.flatten(F.transform(digests, lambda d: F.array(*[normal(d, i) for i in range(4)])))
+
+    # V1..V28 are one array expression, so that the generated code stays small
+    drawn = keys.select(key, (uniform(digest("noisy")) < F.lit(float(noisy_share))).alias("_noisy"), normals("V").alias("_v"))
+    noise = F.zip_with("_v", normals("noise"), lambda v, extra: v + extra * EXTRA_NOISE)
     amount = F.exp(F.lit(LOG_AMOUNT_MEAN) + F.lit(LOG_AMOUNT_STD) * normal(digest("Amount")))
-    return keys.select(key, *columns, F.round(amount, 2).alias("Amount"))
+    made = drawn.select(key, F.floor(uniform(digest("Time")) * SECONDS).cast("double").alias("Time"),
+                        F.round(amount, 2).alias("Amount"), F.when(F.col("_noisy"), noise).otherwise(F.col("_v")).alias("_w"))
+    return made.select(key, "Time", *[F.col("_w")[i].alias(v) for i, v in enumerate(FEATURES)], "Amount")
 
 
 def sample_transactions(spark: SparkSession, rows: int = 50, seed: int = 42) -> DataFrame:
