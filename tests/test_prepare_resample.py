@@ -110,7 +110,7 @@ def test_unknown_strategy_is_reported(skewed, caplog):
     assert out.count() == 1000 and "magic" in caplog.text
 
 
-@pytest.mark.parametrize("chunk", [2048, 32])
+@pytest.mark.parametrize("chunk", [2048, 32, 2])
 def test_neighbours_match_brute_force(spark, chunk):
     """Clusters, a vector shared by a third of the rows, integer grid points with many ties."""
     rng = np.random.default_rng(3)

@@ -157,9 +157,13 @@ def duplicate_rows_missing(spark, folder):
     return _round_all(p.duplicate_rows(gaps(spark, folder).select("User", "Ticks", "Hour", "Class")), ["duplicate_pct"])
 
 
-@query("perfect_correlations", f"""WITH {CHECKS} SELECT * FROM (""" + " UNION ALL ".join(
+PERFECT = " UNION ALL ".join(
     f"""SELECT '{a}' AS a, '{b}' AS b FROM checks HAVING abs(CASE WHEN stddev_pop("{a}") > 0 AND stddev_pop("{b}") > 0
-        THEN corr("{a}", "{b}") END) >= 1 - 1e-9""" for i, a in enumerate(CHECKED) for b in CHECKED[i + 1:]) + ")")
+        THEN corr("{a}", "{b}") END) >= 1 - 1e-9""" for i, a in enumerate(CHECKED) for b in CHECKED[i + 1:])
+VARIANCE = f"SELECT feature, var_samp(value) AS v FROM ({sql_long('checks', CHECKED)}) GROUP BY feature"
+
+
+@query("perfect_correlations", f"WITH {CHECKS} SELECT * FROM ({PERFECT})")
 def perfect_correlations(spark, folder):
     """Pairs of columns that determine each other linearly."""
     return c.perfect_correlations(checks(spark, folder), CHECKED)
@@ -207,9 +211,9 @@ def sql_report() -> str:
     UNION ALL SELECT 'class', "Class"::VARCHAR, 'pct', count(*) * 100e0 / (SELECT count(*) FROM checks) FROM checks GROUP BY "Class"
     UNION ALL SELECT 'duplicates', '', 'duplicates', dup FROM dd
     UNION ALL SELECT 'duplicates', '', 'duplicate_pct', dup * 100 / tot FROM dd
-    UNION ALL VALUES ('perfect_correlation', 'quantity~doubled', 'found', 1e0),
-      ('perfect_correlation', 'discount~faint', 'found', 1e0), ('zero_variance', 'constant', 'found', 1e0),
-      ('low_variance', 'constant', 'found', 1e0), ('low_variance', 'faint', 'found', 1e0)
+    UNION ALL SELECT 'perfect_correlation', a || '~' || b, 'found', 1e0 FROM ({PERFECT})
+    UNION ALL SELECT 'zero_variance', feature, 'found', 1e0 FROM ({VARIANCE}) WHERE v = 0
+    UNION ALL SELECT 'low_variance', feature, 'found', 1e0 FROM ({VARIANCE}) WHERE v < 1e-6 AND feature <> 'Class'
     UNION ALL {correlations}
     UNION ALL {hist})"""
 

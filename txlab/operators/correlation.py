@@ -28,18 +28,24 @@ def target_correlation(df: DataFrame, label: str, top_n: int = 15) -> DataFrame:
     return cells.orderBy(F.desc_nulls_last("abs_corr"), "feature").limit(top_n)
 
 
-def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
+def column_moments(df: DataFrame, columns: list[str]) -> tuple[int, dict]:
+    """``(rows, {column: (values, mean, population std)})``, bounded by the width of the table."""
+    value = {c: present(df, c).cast("double") for c in columns}
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.struct(F.count(v), F.avg(v), F.stddev_pop(v)).alias(f"c{i}") for i, v in enumerate(value.values())]).first()
+    return row["rows"], {c: tuple(row[f"c{i}"]) for i, c in enumerate(columns)}
+
+
+def correlation_pairs(df: DataFrame, columns: list[str], moments: tuple[int, dict] | None = None) -> DataFrame:
     """Rows ``(a, b, r)`` for every pair in column order; NULL where a column is constant.
 
-    The first aggregate gives size, mean and spread of every column (bounded by the width of
-    the table); the second sums products of standardised values, one sum per pair.
+    From ``column_moments`` (or those given), one aggregate sums products of standardised
+    values, one sum per pair.
     """
     if len(columns) > MAX_PAIRWISE:
         return _wide_pairs(df, columns)
     value = {c: present(df, c).cast("double") for c in columns}
-    facts = df.agg(F.count(F.lit(1)).alias("rows"), *[
-        F.struct(F.count(value[c]), F.avg(value[c]), F.stddev_pop(value[c])).alias(c) for c in columns]).first()
-    rows = facts["rows"]
+    rows, facts = moments or column_moments(df, columns)
     z, full = {}, {}
     for c in columns:
         n, mean, spread = facts[c]

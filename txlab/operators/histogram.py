@@ -13,14 +13,18 @@ def _bin(value, low, high, bins: int):
     return F.least(F.floor(ratio(value - low, width)), F.lit(bins - 1)).cast("int")
 
 
-def histogram(df: DataFrame, column: str, bins: int = 50, by: str | None = None) -> DataFrame:
+def histogram(df: DataFrame, column: str, bins: int = 50, by: str | None = None,
+              span: tuple[float, float] | None = None) -> DataFrame:
     """Rows ``([by,] bin, lo, hi, n)``; with ``by``, each group is binned over its own range.
 
-    A constant column has no width: it is binned over [value - 0.5, value + 0.5].
+    ``span`` gives the smallest and largest value where they are known already. A constant column has no width: it is binned over [value - 0.5, value + 0.5].
     """
     group = [by] if by else []
     values = df.select(*group, present(df, column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    spread = values.groupBy(*group).agg(F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    if span is not None:
+        spread = df.sparkSession.range(1).select(F.lit(span[0]).alias("_min"), F.lit(span[1]).alias("_max"))
+    else:
+        spread = values.groupBy(*group).agg(F.min("_v").alias("_min"), F.max("_v").alias("_max"))
     flat = F.col("_min") == F.col("_max")
     spread = spread.select(
         *group, F.when(flat, F.col("_min") - 0.5).otherwise(F.col("_min")).alias("_lo"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import is_missing, numeric_columns, present, ratio, string_columns
 from .quantiles import QUARTILES, approx_quantiles, exact_quantiles
@@ -32,12 +32,16 @@ def table_info(df: DataFrame, label: str) -> DataFrame:
     return facts.unionByName(labels)
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row: the widths of its fixed-size columns plus the bytes of its texts."""
+    fixed = sum(WIDTHS.get(type(f.dataType), 0) for f in df.schema)
+    return sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in string_columns(df)), F.lit(fixed).cast("long"))
+
+
 def table_summary(df: DataFrame) -> DataFrame:
     """One row: row and column counts, numeric and text column names, data size in MB."""
     numeric, text = numeric_columns(df), string_columns(df)
-    fixed = sum(WIDTHS.get(type(f.dataType), 0) for f in df.schema)
-    lengths = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in text), F.lit(fixed).cast("long"))
-    return df.agg(F.count(F.lit(1)).alias("total_rows"), F.sum(lengths).alias("_bytes")).select(
+    return df.agg(F.count(F.lit(1)).alias("total_rows"), F.sum(row_bytes(df)).alias("_bytes")).select(
         "total_rows", F.lit(len(df.columns)).cast("long").alias("total_columns"),
         F.lit(",".join(numeric)).alias("numeric_columns"), F.lit(",".join(text)).alias("text_columns"),
         (F.coalesce(F.col("_bytes"), F.lit(0)).cast("double") / 1048576.0).alias("size_mb"))

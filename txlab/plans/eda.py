@@ -4,43 +4,95 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from ..functions import is_missing, numeric_columns
-from ..operators.correlation import perfect_correlations, target_correlation
+from ..functions import is_missing, numeric_columns, present
+from ..operators.correlation import MAX_PAIRWISE, correlation_pairs, target_correlation
 from ..operators.histogram import histogram
-from ..operators.profile import class_distribution, describe, duplicate_rows, imbalance, low_variance, table_summary, variances
+from ..operators.profile import duplicate_rows, row_bytes
+from ..operators.quantiles import QUARTILES, exact_quantiles
 
+SCHEMA = "section string, name string, metric string, value double"
+PERFECT, LOW = 1 - 1e-9, 1e-6
 
-def _lines(df: DataFrame, section: str, name, metrics: list[str]) -> DataFrame:
+
+def long_lines(df: DataFrame, section: str, name, metrics: list[str]) -> DataFrame:
+    """The numbers in columns ``metrics`` as report lines."""
     name = F.lit(name) if isinstance(name, str) else name
     return df.select(name.alias("name"), F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]))).select(
         F.lit(section).alias("section"), "name", "metric", "value")
 
 
-def _flag(df: DataFrame, section: str, name) -> DataFrame:
-    return _lines(df.withColumn("found", F.lit(1.0)), section, name, ["found"])
+def _facts(df: DataFrame, label: str, numeric: list[str]) -> Row:
+    """Everything a single pass can tell; its size depends on the width of the table only."""
+    aggregates = [F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes"),
+                  F.count_if(F.col(label) == 0).alias("negatives"), F.count_if(F.col(label) == 1).alias("positives")]
+    aggregates += [F.count_if(is_missing(df, c)).alias(f"missing_{c}") for c in df.columns]
+    for c in numeric:
+        v = present(df, c).cast("double")
+        aggregates.append(F.struct(
+            F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
+            F.max(v).alias("max"), F.var_samp(v).alias("variance"), F.stddev_pop(v).alias("spread")).alias(f"about_{c}"))
+    return df.agg(*aggregates).first()
+
+
+def _fact_lines(facts: Row, df: DataFrame, label: str, numeric: list[str]) -> list[tuple]:
+    n, negatives, positives = facts["rows"], facts["negatives"], facts["positives"]
+    lines = [("summary", "", "total_rows", n), ("summary", "", "total_columns", len(df.columns)),
+             ("summary", "", "size_mb", (facts["bytes"] or 0) / 1048576.0),
+             ("class", "", "positive_rate", positives * 100.0 / n if n else 0.0),
+             ("class", "", "imbalance_ratio", negatives / positives if positives else float("inf"))]
+    lines += [("missing", "", c, facts[f"missing_{c}"]) for c in df.columns]
+    for c in numeric:
+        about = facts[f"about_{c}"]
+        lines += [("describe", c, m, about[m]) for m in ("count", "mean", "std", "min", "max")]
+        if about["variance"] == 0:
+            lines.append(("zero_variance", c, "found", 1.0))
+        if c != label and about["variance"] is not None and about["variance"] < LOW:
+            lines.append(("low_variance", c, "found", 1.0))
+    return lines
+
+
+def _correlation_lines(df: DataFrame, label: str, numeric: list[str], facts: Row, top_n: int) -> list[tuple]:
+    """Perfectly correlated pairs and the strongest correlates of the label (a row per pair of columns)."""
+    moments = (facts["rows"], {c: tuple(facts[f"about_{c}"][m] for m in ("count", "mean", "spread")) for c in numeric})
+    pairs = [(r["a"], r["b"], r["r"]) for r in correlation_pairs(df, numeric, moments).collect()]
+    lines = [("perfect_correlation", f"{a}~{b}", "found", 1.0) for a, b, r in pairs if r is not None and abs(r) >= PERFECT]
+    if label not in numeric or len(numeric) > MAX_PAIRWISE:
+        top = [(r["feature"], r["abs_corr"]) for r in target_correlation(df, label, top_n).collect()]
+    else:
+        found = [(b if a == label else a, None if r is None else abs(r)) for a, b, r in pairs if label in (a, b)]
+        top = sorted(found, key=lambda x: (x[1] is None, -(x[1] or 0.0), x[0]))[:top_n]
+    return lines + [("target_correlation", c, "abs_corr", r) for c, r in top]
+
+
+def _frame(spark: SparkSession, lines: list[tuple]) -> DataFrame:
+    return spark.createDataFrame([(s, n, m, None if v is None else float(v)) for s, n, m, v in lines], SCHEMA)
 
 
 def eda_report(df: DataFrame, label: str, histogram_columns: list[str] = (), bins: int = 50, top_n: int = 15) -> DataFrame:
-    """Summary, missing values, describe, class balance, leakage checks and the plotted numbers."""
+    """Summary, missing values, describe, class balance, leakage checks and the plotted numbers.
+
+    One pass for all plain aggregates, one for all correlations, one per histogram, one for
+    the class counts, the passes of the exact quartiles, and the shuffle that finds duplicates.
+    """
     numeric = numeric_columns(df)
-    missing = df.agg(*[F.count_if(is_missing(df, c)).alias(c) for c in df.columns])
-    spread = variances(df, numeric)
+    facts = _facts(df, label, numeric)
+    lines = _fact_lines(facts, df, label, numeric) + _correlation_lines(df, label, numeric, facts, top_n)
+    n = max(facts["rows"], 1)
+    classes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).withColumn("pct", F.col("n") * 100.0 / F.lit(float(n)))
+    quartiles = exact_quantiles(df, numeric, QUARTILES)
     parts = [
-        _lines(table_summary(df), "summary", "", ["total_rows", "total_columns", "size_mb"]),
-        _lines(missing, "missing", "", df.columns),
-        _lines(describe(df, numeric), "describe", F.col("feature"),
-               ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]),
-        _lines(imbalance(df, label), "class", "", ["positive_rate", "imbalance_ratio"]),
-        _lines(class_distribution(df, label), "class", F.col(label).cast("string"), ["n", "pct"]),
-        _lines(duplicate_rows(df), "duplicates", "", ["duplicates", "duplicate_pct"]),
-        _flag(perfect_correlations(df, numeric), "perfect_correlation", F.concat_ws("~", "a", "b")),
-        _flag(spread.where(F.col("variance") == 0), "zero_variance", F.col("feature")),
-        _flag(low_variance(df, label), "low_variance", F.col("feature")),
-        _lines(target_correlation(df, label, top_n), "target_correlation", F.col("feature"), ["abs_corr"]),
+        _frame(df.sparkSession, lines),
+        quartiles.select(F.lit("describe").alias("section"), F.col("feature").alias("name"),
+                         F.concat(F.lit("p"), F.round(F.col("prob") * 100).cast("int").cast("string")).alias("metric"), "value"),
+        long_lines(classes, "class", F.col(label).cast("string"), ["n", "pct"]),
+        long_lines(duplicate_rows(df), "duplicates", "", ["duplicates", "duplicate_pct"]),
     ]
-    parts += [_lines(histogram(df, c, bins), f"histogram_{c}", F.col("bin").cast("string"), ["lo", "hi", "n"])
-              for c in histogram_columns]
+    for c in histogram_columns:
+        about = facts[f"about_{c}"]
+        if about["count"]:
+            counts = histogram(df, c, bins, span=(about["min"], about["max"]))
+            parts.append(long_lines(counts, f"histogram_{c}", F.col("bin").cast("string"), ["lo", "hi", "n"]))
     return reduce(DataFrame.unionByName, parts)

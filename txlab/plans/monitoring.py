@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import is_missing
 from ..operators.drift import ALPHA, detect_drift, drift_severity, drift_summary, shared_features
 from ..session import freeze
-from .eda import _lines
+from .eda import long_lines
 
 # What to do about each severity.
 ADVICE = {
@@ -30,15 +30,15 @@ def monitor_report(reference: DataFrame, new: DataFrame, features: list[str] | N
                     missing.alias("missing_values"))
     measured = flags.withColumn("drift", F.col("drift").cast("double"))
     parts = [
-        _lines(facts, "data", "", ["rows", "columns", "missing_values"]),
-        _lines(measured, "feature", F.col("feature"), ["ks_statistic", "p_value", "drift"]),
-        _lines(summary, "summary", "", ["total_features", "features_with_drift", "drift_percentage",
+        long_lines(facts, "data", "", ["rows", "columns", "missing_values"]),
+        long_lines(measured, "feature", F.col("feature"), ["ks_statistic", "p_value", "drift"]),
+        long_lines(summary, "summary", "", ["total_features", "features_with_drift", "drift_percentage",
                                         "avg_ks_statistic", "avg_p_value"]),
-        _lines(summary.withColumn("given", F.lit(1.0)), "severity", F.col("severity"), ["given"]),
+        long_lines(summary.withColumn("given", F.lit(1.0)), "severity", F.col("severity"), ["given"]),
     ]
     if skipped:
         names = reference.sparkSession.createDataFrame([(s, 1.0) for s in skipped], "n string, skipped double")
-        parts.append(_lines(names, "feature", F.col("n"), ["skipped"]))
+        parts.append(long_lines(names, "feature", F.col("n"), ["skipped"]))
     return reduce(DataFrame.unionByName, parts)
 
 
