@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from txlab.operators import models, scoring, search
 from txlab.operators.resample import with_class_weights
+from txlab.plans import evaluation
 
 FEATURES = [f"f{i}" for i in range(4)]
 
@@ -85,6 +86,19 @@ def test_save_load_describe(data, tmp_path):
     assert info["maxIter"] == "1000"
 
 
+def test_list_and_promote(spark, data, tmp_path):
+    df = data[0]
+    model = models.fit_model(df, "logistic_regression", FEATURES, "Class")
+    for name in ("b", "a"):
+        models.save_model(model, str(tmp_path / "saved" / name))
+    assert [r["name"] for r in models.list_models(spark, str(tmp_path / "saved")).orderBy("name").collect()] == ["a", "b"]
+    plain = evaluation.score_promoted(df, evaluation.promote(model, "a", str(tmp_path / "p"), 0.3))
+    assert plain.exceptAll(scoring.score_batch(df, model, 0.3)).count() == 0
+    tuned = evaluation.score_promoted(df, evaluation.promote(model, "a", str(tmp_path / "q"), 0.3, (2.0, -1.0))).first()
+    raw = plain.where(F.col("id") == tuned["id"]).first()["fraud_probability"]
+    assert tuned["fraud_probability"] == pytest.approx(1 / (1 + np.exp(1 - 2 * raw)))
+
+
 @pytest.mark.parametrize("strategy", ["none", "class_weight", "under", "smote"])
 def test_cross_validation(data, strategy):
     df = data[0]

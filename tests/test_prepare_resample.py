@@ -111,8 +111,10 @@ def test_unknown_strategy_is_reported(skewed, caplog):
 
 
 @pytest.mark.parametrize("chunk", [2048, 32, 2])
-def test_neighbours_match_brute_force(spark, chunk):
+def test_neighbours_match_brute_force(spark, chunk, monkeypatch):
     """Clusters, a vector shared by a third of the rows, integer grid points with many ties."""
+    if chunk == 2:
+        monkeypatch.setattr(neighbours, "MAX_PIVOTS", 8)  # large cells, divided into rings
     rng = np.random.default_rng(3)
     x = np.vstack([rng.normal(size=(80, 3)), np.repeat(rng.normal(size=(1, 3)), 70, axis=0),
                    rng.integers(0, 2, size=(40, 3)), rng.normal(size=(20, 3)) * 0.01 + 4]).round(3)

@@ -10,6 +10,7 @@ from ..operators.validate import non_negative
 from ..session import freeze, scratch_path
 from ..streaming import run_available, stream_drift, stream_score, stream_summary
 from ..streaming.jobs import to_files
+from .drift import TAIL_AT, sql_tail
 from .registry import query
 from .roles import SIGMOID_AMOUNT, amount_score, table
 
@@ -57,7 +58,16 @@ def stream_score_summary(spark, folder):
         "min_probability", "max_probability", rounded(F.col("flagged_rate")).alias("flagged_rate"))
 
 
-@query("stream_drift")
+@query("stream_drift", f"""
+  WITH s AS (SELECT avg(value - 1e0) AS m, stddev_samp(value - 1e0) AS sd FROM events),
+  cells AS (SELECT value - 1e0 AS value, count(*) AS w FROM events GROUP BY value),
+  z AS (SELECT (value - m) / sd AS z, w, sum(w) OVER (ORDER BY value ROWS UNBOUNDED PRECEDING) AS upto, sum(w) OVER () AS n FROM cells, s),
+  e AS (SELECT *, CASE WHEN z > 0 THEN 1e0 - tail ELSE tail END AS f
+        FROM (SELECT *, CASE WHEN abs(z) > 7 THEN 0e0 ELSE {TAIL_AT} END AS tail FROM z)),
+  ks AS (SELECT max(n)::BIGINT AS n_new, max(greatest(abs(upto / n::DOUBLE - f), abs(f - (upto - w) / n::DOUBLE))) AS ks_statistic FROM e),
+  p AS (SELECT *, {sql_tail("n_new::DOUBLE")} AS p_value FROM ks)
+  SELECT 0 AS batch, 'Amount' AS feature, n_new, round(ks_statistic, 6) AS ks_statistic, round(p_value, 6) AS p_value,
+         p_value < 0.05 AS drift FROM p""")
 def stream_drift_query(spark, folder):
     """Each micro-batch against stored statistics of the same table."""
     events = table(spark, folder, "events").select((F.col("value") - FEE).alias("Amount"))

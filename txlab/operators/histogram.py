@@ -48,5 +48,5 @@ def histogram(df: DataFrame, column: str, bins: int = 50, by: str | None = None,
 def density_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Rows ``(bin, lo, hi, density)`` whose area is one."""
     counts = histogram(df, column, bins)
-    total = df.agg(F.count(present(df, column)).alias("t")).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.select("bin", "lo", "hi", ratio(F.col("n"), total * (F.col("hi") - F.col("lo"))).alias("density"))

@@ -217,8 +217,7 @@ def evaluate_models(df: DataFrame, label: str, score: str, min_recall: float = M
                     decide_at: float = DEFAULT_THRESHOLD, curve: DataFrame | None = None) -> DataFrame:
     """One row per ``model``: ranking metrics, metrics at ``decide_at``, chosen threshold and what it gives.
 
-    Everything but the Brier score is read off the curve, so the scored rows are scanned
-    once for the curve and once for the Brier score.
+    Everything is read off the curve, so the scored rows are scanned once.
     """
     by = ["model"]
     if curve is None:
@@ -235,21 +234,22 @@ def evaluate_models(df: DataFrame, label: str, score: str, min_recall: float = M
 
     gained = ratio(F.col("pos"), F.col("positives"))
     outranked = F.col("neg") * (F.col("tp") - F.col("pos") + F.col("pos") * 0.5)
+    squares = F.col("pos") * F.pow(F.col("score") - 1, F.lit(2)) + F.col("neg") * F.pow(F.col("score"), F.lit(2))
     summed = with_threshold.groupBy("model", "threshold").agg(
         F.max("positives").alias("positives"), F.max("negatives").alias("negatives"),
         F.coalesce(F.sum(gained * _curve_precision()), F.lit(0.0)).alias("pr_auc"),
-        F.sum(outranked).alias("_outranked"), *at(F.lit(decide_at), "_d"), *at(F.col("threshold"), "_t"))
+        F.sum(outranked).alias("_outranked"), F.sum(squares).alias("_squares"), *at(F.lit(decide_at), "_d"), *at(F.col("threshold"), "_t"))
 
     def rates(s, prefix):
         tp, fp, positives = F.col(f"tp{s}"), F.col(f"fp{s}"), F.col("positives")
         return [ratio(tp, tp + fp).alias(f"{prefix}precision"), ratio(tp, positives).alias(f"{prefix}recall"),
                 ratio(2 * tp, tp + fp + positives).alias(f"{prefix}f1")]
 
-    table = summed.select(
+    return summed.select(
         "model", "pr_auc",
         ratio(F.col("_outranked"), F.col("positives").cast("double") * F.col("negatives")).alias("roc_auc"),
-        *rates("_d", ""), "threshold", *rates("_t", "best_"))
-    return table.join(brier_score(df, label, score, by), "model")
+        *rates("_d", ""), "threshold", *rates("_t", "best_"),
+        ratio(F.col("_squares"), F.col("positives") + F.col("negatives")).alias("brier_score"))
 
 
 def leaderboard(results: DataFrame, by: str = "pr_auc") -> DataFrame:

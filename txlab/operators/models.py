@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import hash_hex, logistic, uniform
 from ..session import freeze
@@ -79,14 +79,12 @@ def importances(model: PipelineModel, features: list[str]) -> DataFrame:
     """Rows ``(feature, importance)``: importances of trees, coefficients of a linear model."""
     last = model.stages[-1]
     values = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
-    from pyspark.sql import SparkSession
     return SparkSession.getActiveSession().createDataFrame(
         [(f, float(v)) for f, v in zip(features, values.toArray())], "feature string, importance double")
 
 
 def model_info(model: PipelineModel, name: str) -> DataFrame:
     """Rows ``(name, type, parameter, value)`` describing a fitted model."""
-    from pyspark.sql import SparkSession
     last = model.stages[-1]
     rows = [(name, type(last).__name__, p.name, str(last.getOrDefault(p)))
             for p in last.params if last.isDefined(p)]
@@ -102,6 +100,16 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def list_models(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows ``(name)``: the models saved below a folder of any file system Spark can reach."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in system.listStatus(path)
+             if s.isDirectory() and system.exists(hadoop.Path(s.getPath(), "metadata"))]
+    return spark.createDataFrame([(n,) for n in sorted(names)], "name string")
+
+
 # ---- training several models, cross-validation ---------------------------------------
 
 def scored_rows(df: DataFrame, model: PipelineModel, name: str, key: str, label: str) -> DataFrame:

@@ -73,7 +73,7 @@ def describe(df: DataFrame, columns: list[str] | None = None, exact: bool = True
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """Rows ``(label, n, pct)``."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.select(label, "n", (ratio(F.col("n"), total) * 100).alias("pct"))
 
 

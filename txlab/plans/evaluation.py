@@ -2,12 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.metrics import MIN_RECALL, best_model, evaluate_models, leaderboard, long_metrics, score_curve
+from ..operators.models import load_model, platt_apply, save_model
+from ..operators.scoring import PROBABILITY, decide, model_score
 from ..sources.artefacts import record_runs, save_threshold, write_json
 
 
+def promote(model: PipelineModel, name: str, folder: str, threshold: float,
+            calibration: tuple[float, float] | None = None) -> str:
+    """Store the winner as one unit: model, threshold and - if it was kept - the calibration."""
+    save_model(model, f"{folder}/model")
+    slope, intercept = calibration or (None, None)
+    row = SparkSession.getActiveSession().createDataFrame(
+        [(name, float(threshold), slope, intercept)], "model_name string, threshold double, slope double, intercept double")
+    write_json(row, f"{folder}/decision")
+    return folder
+
+
+def score_promoted(df: DataFrame, folder: str) -> DataFrame:
+    """Score with a promoted unit: calibrated probability, decision at its threshold."""
+    schema = "model_name string, threshold double, slope double, intercept double"
+    stored = df.sparkSession.read.schema(schema).json(f"{folder}/decision").first()
+    scored = model_score(df, load_model(f"{folder}/model"))
+    if stored["slope"] is not None:
+        scored = platt_apply(scored, stored["slope"], stored["intercept"], PROBABILITY).withColumn(
+            PROBABILITY, F.col("calibrated")).drop("calibrated")
+    return decide(scored, stored["threshold"])
+
+
 def evaluate_and_store(scored: DataFrame, folder: str, min_recall: float = MIN_RECALL) -> tuple[DataFrame, DataFrame]:
     """``(leaderboard, chosen)`` of scored rows ``(model, key, label, score)``.
 
