@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -24,6 +26,7 @@ DEFAULTS = {
     "random_forest": {"n_estimators": 100, "max_depth": 10, "random_state": 42},
     "gradient_boosting": {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1, "random_state": 42},
 }
+PARALLELISM = 4  # fits at a time
 DEEPEST = 30  # Spark ML's limit, used where no depth limit is asked for
 
 
@@ -151,22 +154,30 @@ def fold_parts(df: DataFrame, features: list[str], key: str, label: str, folds:
     Rebalancing is applied to the training part only.
     """
     split = freeze(fold_assign(df.select(key, label, *features), key, label, folds, seed), "folds")
-    parts = []
-    for j in range(folds):
+
+    def part(j):
         train = rebalance(split.where(F.col("fold") != j).drop("fold"), strategy, key, label, features, seed)
-        parts.append((train if strategy == "none" else freeze(train, "train"), split.where(F.col("fold") == j)))
-    return parts
+        return train if strategy == "none" else freeze(train, "train"), split.where(F.col("fold") == j)
+
+    return at_once(df.sparkSession, part, range(folds))
+
+
+def at_once(spark: SparkSession, work, items, parallelism: int = PARALLELISM) -> list:
+    """Run independent jobs side by side, so that small ones do not leave the cluster idle."""
+    with ThreadPool(parallelism) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items)
 
 
 def out_of_fold(parts: list[tuple[DataFrame, DataFrame]], name: str, features: list[str], key: str, label: str,
                 params: dict | None = None) -> DataFrame:
     """Rows ``(model, key, label, score)`` with ``model`` the fold: each row scored by a model that never saw it."""
-    scored = []
-    for j, (train, held_out) in enumerate(parts):
+    def score(j):
+        train, held_out = parts[j]
         weight = "weight" if "weight" in train.columns else None
         model = fit_model(train, name, features, label, params, weight)
-        scored.append(scored_rows(held_out, model, str(j), key, label))
-    return _union(scored)
+        return scored_rows(held_out, model, str(j), key, label)
+
+    return _union(at_once(parts[0][0].sparkSession, score, range(len(parts))))
 
 
 def cross_validate(df: DataFrame, name: str, features: list[str], key: str, label: str, folds: int = 5,
