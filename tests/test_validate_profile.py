@@ -103,7 +103,9 @@ def test_approx_quantiles(spark):
     assert np.allclose(got, [25_000, 50_000, 75_000], atol=20)
 
 
-def test_correlations_with_missing_and_constant_columns(spark):
+@pytest.mark.parametrize("limit", [50, 2])
+def test_correlations_with_missing_and_constant_columns(spark, monkeypatch, limit):
+    monkeypatch.setattr(correlation, "MAX_PAIRWISE", limit)
     rng = np.random.default_rng(2)
     x, y = rng.normal(size=60), rng.normal(size=60)
     rows = [(float(a), None if i % 7 == 0 else float(b), NAN if i % 5 == 0 else float(a + b), 3.0, int(i % 2))

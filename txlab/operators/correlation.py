@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
@@ -39,52 +40,49 @@ def column_moments(df: DataFrame, columns: list[str]) -> tuple[int, dict]:
 def correlation_pairs(df: DataFrame, columns: list[str], moments: tuple[int, dict] | None = None) -> DataFrame:
     """Rows ``(a, b, r)`` for every pair in column order; NULL where a column is constant.
 
-    From ``column_moments`` (or those given), one aggregate sums products of standardised
-    values, one sum per pair.
+    From ``column_moments`` (or those given), an aggregate sums products of standardised
+    values, one sum per pair. Very many columns without gaps go through a matrix product
+    instead; with gaps, through several aggregates of limited size.
     """
-    if len(columns) > MAX_PAIRWISE:
-        return _wide_pairs(df, columns)
     value = {c: present(df, c).cast("double") for c in columns}
     rows, facts = moments or column_moments(df, columns)
-    z, full = {}, {}
-    for c in columns:
-        n, mean, spread = facts[c]
-        full[c] = n == rows
-        z[c] = (value[c] - F.lit(mean)) / F.lit(spread) if n and spread else None
-    pairs, sums = list(combinations(columns, 2)), []
+    full = {c: facts[c][0] == rows for c in columns}
+    z = {c: (value[c] - F.lit(facts[c][1])) / F.lit(facts[c][2]) if facts[c][0] and facts[c][2] else None for c in columns}
+    useful = [c for c in columns if z[c] is not None]
+    if len(useful) > MAX_PAIRWISE and all(full[c] for c in useful):
+        found = _matrix_product(df, useful)
+    else:
+        pairs, size = list(combinations(useful, 2)), MAX_PAIRWISE * (MAX_PAIRWISE - 1) // 2
+        found = [_summed_pairs(df, pairs[i:i + size], z, full, rows) for i in range(0, len(pairs), size)]
+    constant = [(a, b, None) for a, b in combinations(columns, 2) if z[a] is None or z[b] is None]
+    return reduce(DataFrame.unionByName, [*found, df.sparkSession.createDataFrame(constant, "a string, b string, r double")])
+
+
+def _summed_pairs(df: DataFrame, pairs: list[tuple], z: dict[str, Column], full: dict[str, bool], rows: int) -> DataFrame:
+    """Correlations of some pairs from sums over the rows that have both values."""
+    sums, result = [], []
     for i, (a, b) in enumerate(pairs):
-        if z[a] is None or z[b] is None:
-            continue
         sums.append(F.sum(z[a] * z[b]).alias(f"xy{i}"))
-        if not (full[a] and full[b]):  # sums over the rows that have both values
-            x, y = F.when(z[b].isNotNull(), z[a]), F.when(z[a].isNotNull(), z[b])
-            sums += [F.count(z[a] * z[b]).alias(f"n{i}"), F.sum(x).alias(f"x{i}"), F.sum(y).alias(f"y{i}"),
-                     F.sum(x * x).alias(f"xx{i}"), F.sum(y * y).alias(f"yy{i}")]
-
-    def r(i, a, b):
-        if z[a] is None or z[b] is None:
-            return F.lit(None).cast("double")
         if full[a] and full[b]:
-            return F.col(f"xy{i}") / F.lit(float(rows))
-        n, x, y = F.col(f"n{i}").cast("double"), F.col(f"x{i}"), F.col(f"y{i}")
-        both = F.col(f"xy{i}") - F.try_divide(x * y, n)
-        spread_x, spread_y = (F.col(f"{k}{k}{i}") - F.try_divide(v * v, n) for k, v in (("x", x), ("y", y)))
-        return F.try_divide(both, F.sqrt(spread_x) * F.sqrt(spread_y))
-
-    if not sums:
-        return df.sparkSession.createDataFrame([(a, b, None) for a, b in pairs], "a string, b string, r double")
+            result.append(F.col(f"xy{i}") / F.lit(float(rows)))
+            continue
+        x, y = F.when(z[b].isNotNull(), z[a]), F.when(z[a].isNotNull(), z[b])
+        sums += [F.count(z[a] * z[b]).alias(f"n{i}"), F.sum(x).alias(f"x{i}"), F.sum(y).alias(f"y{i}"),
+                 F.sum(x * x).alias(f"xx{i}"), F.sum(y * y).alias(f"yy{i}")]
+        n, sx, sy = F.col(f"n{i}").cast("double"), F.col(f"x{i}"), F.col(f"y{i}")
+        spread_x = F.col(f"xx{i}") - F.try_divide(sx * sx, n)
+        spread_y = F.col(f"yy{i}") - F.try_divide(sy * sy, n)
+        result.append(F.try_divide(F.col(f"xy{i}") - F.try_divide(sx * sy, n), F.sqrt(spread_x) * F.sqrt(spread_y)))
     return df.agg(*sums).select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r(i, a, b).alias("r")) for i, (a, b) in enumerate(pairs)])))
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")) for (a, b), r in zip(pairs, result)])))
 
 
-def _wide_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Many columns: one matrix product over assembled vectors (rows with a gap are skipped)."""
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v", handleInvalid="skip").transform(
-        df.select(*[present(df, c).cast("double").alias(c) for c in columns]))
+def _matrix_product(df: DataFrame, columns: list[str]) -> list[DataFrame]:
+    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
     matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
-    rows = [(columns[i], columns[j], None if matrix[i, j] != matrix[i, j] else float(matrix[i, j]))
-            for i, j in combinations(range(len(columns)), 2)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    rows = [(columns[i], columns[j], float(matrix[i, j])) for i, j in combinations(range(len(columns)), 2)]
+    return [df.sparkSession.createDataFrame(rows, "a string, b string, r double")]
 
 
 def correlation_matrix(df: DataFrame, label: str, top_n: int = 15) -> DataFrame:
