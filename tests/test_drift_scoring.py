@@ -2,7 +2,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml.linalg import Vectors  # noqa: F401
 from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.sql import functions as F
 
