@@ -5,10 +5,10 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from txlab.catalog import ORACLE, QUERIES
 from tools.check import compare
 
 FOLDER = "/root/testdata/sf0.001"
-FITTED = [n for n in entry.queries() if n not in entry.oracle_sql()]
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,7 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, con, name):
     result = compare(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name])
     assert result.startswith("ok") and "TYPES" not in result, result
@@ -35,4 +35,4 @@ def test_entry(spark):
 
 def test_names():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert not any("pipeline" in n or n.startswith("op") and n[2:3].isdigit() for n in entry.queries())
+    assert not any("pipeline" in n or n.startswith("op") and n[2:3].isdigit() for n in QUERIES)
