@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import pin, scratch_path
-from . import bpe, mixing, quality, sharding, simhash, warc
+from . import bpe, lines, mixing, quality, sharding, simhash, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,19 +42,55 @@ def op2(spark, folder):
         "n_removed_lines", "n_line_chars", "n_lost_chars")
 
 
+@query("op3_line_dedup")
+def op3(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    r = lines.removals(docs, "doc_id")
+    return (docs.select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("u")).join(r, "u", "left")
+            .select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), "removed"))
+
+
+@query("op4_toxicity")
+def op4(spark, folder):
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op5_mixing")
 def op5(spark, folder):
     p = mixing.plan(table(spark, folder, "documents"))
     return p.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "copies")
 
 
-@query("op6_warc")
+@query("op6_warc", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+q AS (SELECT page_id, octet_length(body) AS n, sha256(body) AS digest FROM p),
+f AS (SELECT digest, min(page_id) AS first FROM q WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n::BIGINT AS payload_bytes, q.digest AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
+FROM q LEFT JOIN f ON q.digest = f.digest AND n >= 100""")
 def op6(spark, folder):
     path = scratch_path(spark, "warc")
     warc.write_warc(table(spark, folder, "pages"), path)
     return warc.payload_figures(warc.read_pages(spark, path))
 
 
+@query("op7_embedding_near_dedup", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e, row_number() OVER (ORDER BY vec_id) AS r FROM embeddings
+), good AS (
+  SELECT * FROM v WHERE e IS NOT NULL AND list_count(e) = len(e) AND len(list_filter(e, lambda x: isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.r <> b.r AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT DISTINCT a AS node, a AS seen FROM links UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen
+), named AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node), counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM v LEFT JOIN named ON node = vec_id LEFT JOIN counted ON a = vec_id""")
+def op7(spark, folder):
+    d = vectors.near_duplicates(table(spark, folder, "embeddings"))
+    return d.select("vec_id", "n_links", F.col("component").alias("component_id"), (F.col("vec_id") == F.col("component")).alias("kept"))
+
+
 @query("op8_simhash_near_dedup")
 def op8(spark, folder):
     d = simhash.near_duplicates(table(spark, folder, "documents"), "doc_id")
