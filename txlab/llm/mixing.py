@@ -101,19 +101,20 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     """``docs`` as the run reads them: every copy of a document is a row, sorted by its ``position`` in training.
 
     The plan is joined to the documents by key, size and text checksum; rows that agree in all of these are the same
-    document, and the plan counts them together. Documents that are not taken are left out.
+    document, and the plan counts them together. Documents that are not taken are left out; columns named ``copy`` and
+    ``position`` are replaced.
     """
     p = plan(docs, key, source, text, **options)
-    own = [key, "size", "_c"]
     # Rows alike in all three are interchangeable: their places are listed once, and dealt out by number.
-    w = Window.partitionBy(*own).orderBy("offset")
-    p = p.withColumn("_n", F.row_number().over(w)).where("copies > 0")
-    d = docs.withColumn("size", F.size(words(F.col(text))).cast("long")).withColumn("_c", F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")))
-    d = d.withColumn("_n", F.row_number().over(Window.partitionBy(*own).orderBy(F.lit(1))))
-    x, y = d.alias("d"), p.alias("p")
-    on = (F.col(f"d.{key}").eqNullSafe(F.col(f"p.{key}")) & (F.col("d.size") == F.col("p.size")) & (F.col("d._c") == F.col("p._c")) & (F.col("d._n") == F.col("p._n")))
-    taken = x.join(y, on).select(*[F.col(f"d.{c}").alias(c) for c in docs.columns], F.col("p.size").alias("_size"), "source_size", "target", "offset", "slope",
-                                 F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-    middle = F.col("offset") + F.col("_size") / F.lit(2.0) + F.col("copy") * F.col("source_size")
-    return (taken.withColumn("position", position(middle, F.col("target"), F.col("slope")))
-            .select(*docs.columns, "copy", "position").orderBy("position", key, "copy"))
+    p = p.withColumn("_n", F.row_number().over(Window.partitionBy(key, "size", "_c").orderBy("offset"))).where("copies > 0")
+    p = p.select(F.col(key).alias("_mix_key"), F.col("size").alias("_mix_size"), F.col("_c").alias("_mix_crc"), F.col("_n").alias("_mix_n"),
+                 F.col("source_size").alias("_mix_all"), F.col("target").alias("_mix_target"), F.col("offset").alias("_mix_offset"),
+                 F.col("slope").alias("_mix_slope"), F.col("copies").alias("_mix_copies"))
+    columns = [c for c in docs.columns if c not in ("copy", "position")]
+    d = docs.select(*columns, F.size(words(F.col(text))).cast("long").alias("_own_size"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("_own_crc"))
+    d = d.withColumn("_own_n", F.row_number().over(Window.partitionBy(key, "_own_size", "_own_crc").orderBy("_own_size")))
+    on = (d[key].eqNullSafe(F.col("_mix_key")) & (F.col("_own_size") == F.col("_mix_size")) & (F.col("_own_crc") == F.col("_mix_crc")) & (F.col("_own_n") == F.col("_mix_n")))
+    taken = d.join(p, on).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_mix_copies") - 1)))
+    middle = F.col("_mix_offset") + F.col("_mix_size") / F.lit(2.0) + F.col("copy") * F.col("_mix_all")
+    return (taken.withColumn("position", position(middle, F.col("_mix_target"), F.col("_mix_slope")))
+            .select(*columns, "copy", "position").orderBy("position", key, "copy"))

@@ -102,10 +102,11 @@ def judge(docs: DataFrame, text: str = "text", max_lost_percent: int = MAX_LOST_
     """``docs`` with the figures of both functions and ``kept``: no base rule failed, and not too much text lost.
 
     One pass without a shuffle; each row is judged by itself, so that repeated rows get equal verdicts. NULL and empty
-    texts have no words and fail. Columns named like a figure are replaced.
+    texts have no words and fail. Columns named like a
+    figure or like a column used in between are replaced.
     """
     made = ["cleaned", "n_lines", "n_removed_lines", "n_line_chars", "n_lost_chars", "lost_too_much", "n_words",
             "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    plain = docs.drop(*made)
+    plain = docs.drop(*made, "_lines", "_w", "_l", "_1", "_5", "_again", "_s", "_at")
     out = text_figures(clean_lines(plain, text, max_lost_percent), text)
     return out.withColumn("kept", ~F.col("base_failed") & ~F.col("lost_too_much"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import pin, scratch_path
-from . import bpe, lines, mixing, quality, sharding, simhash, toxicity, vectors, warc
+from . import bpe, lines, mixing, quality, sharding, simhash, suffixes, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -102,3 +102,8 @@ def op9(spark, folder):
     import public_tokenizers
 
     return bpe.round_trip(table(spark, folder, "documents"), "doc_id", public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
+@query("op10_suffix_array_dedup")
+def op10(spark, folder):
+    return suffixes.remove_repeats(table(spark, folder, "documents")).drop("kept")

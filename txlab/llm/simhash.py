@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import freeze
 from .components import components
@@ -41,15 +41,22 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
 
 
+def _text_id(key: str, text: str) -> list[Column]:
+    """Two hashes that tell rows apart by key and text."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    return [F.xxhash64(F.col(key), body).alias("_t1"), F.crc32(body.cast("binary")).alias("_t2")]
+
+
 def fingerprints(docs: DataFrame, key: str, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``key, fp`` (long, the fingerprint's 64 bits) for every row; texts are read once and not shuffled."""
+    """``key, _t1, _t2`` (hashes of key and text) and ``fp`` (long, the 64 bits) for every row; texts are read once and not shuffled."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             bits = np.array([fingerprint(t, shingle) for t in f["_text"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({key: f[key], "fp": bits})
+            yield pd.DataFrame({key: f[key], "_t1": f["_t1"], "_t2": f["_t2"], "fp": bits})
 
     kind = dict(docs.dtypes)[key]
-    return docs.selectExpr(f"`{key}`", f"`{text}` AS _text").mapInPandas(run, f"`{key}` {kind}, fp bigint")
+    return (docs.select(F.col(key), *_text_id(key, text), F.col(text).alias("_text"))
+            .mapInPandas(run, f"`{key}` {kind}, _t1 bigint, _t2 bigint, fp bigint"))
 
 
 def _segments(count: int) -> list[tuple[int, int]]:
@@ -68,8 +75,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, segments: int = 2) -> DataFr
     to ``3 * segments - 1`` is accepted, for which balls of radius 1 are enough. With two segments a table has 2^32
     values, so random candidates stay few; a pair met under several values is kept once.
     """
-    if not 0 <= distance < 3 * segments:
-        raise ValueError("distance must be below three times the number of segments")
+    if segments < 2 or not 0 <= distance < 3 * segments:
+        raise ValueError("two segments at least, and a distance below three times their number")
     radius = (distance // segments + 1) // 2
     def entries(k: int, start: int, width: int) -> Column:
         own = F.shiftrightunsigned("fp", start).bitwiseAND(F.lit((1 << width) - 1))
@@ -88,7 +95,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, segments: int = 2) -> DataFr
 
 
 def near_duplicates(docs: DataFrame, key: str, text: str = "text", distance: int = DISTANCE) -> DataFrame:
-    """``key, fp, component``: ``component`` is the smallest key reachable over links, the row's own included.
+    """``key, _t1, _t2, fp, component``: ``component`` is the smallest key reachable over links, the row's own included.
 
     Equal fingerprints are one node of the search, so thousands of copies cost one. NULL and empty texts have
     fingerprint zero and link like others. Rows with a NULL key take part but never name a component, unless a
@@ -100,7 +107,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text", distance: int
     placed = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     lowest = placed.groupBy("component").agg(F.min("low").alias("lowest"))
     names = placed.join(lowest, "component").select("fp", "lowest")
-    return fps.join(names, "fp").select(key, "fp", F.col("lowest").alias("component"))
+    return fps.join(names, "fp").select(key, "_t1", "_t2", "fp", F.col("lowest").alias("component"))
 
 
 def hex16(fp: Column) -> Column:
@@ -111,9 +118,13 @@ def hex16(fp: Column) -> Column:
 def keep_first(docs: DataFrame, key: str, text: str = "text", distance: int = DISTANCE) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest key.
 
-    Groups whose keys are all NULL keep one row too; of rows that share the smallest key one stays.
+    Of rows that share this key the text with the smallest hash stays, and of rows that agree in both one. Groups whose
+    keys are all NULL keep one row too.
     """
-    near = near_duplicates(docs, key, text, distance).select(F.col(key).alias("_key"), "component")
-    first = near.where(F.col("_key").eqNullSafe(F.col("component"))).select("_key").distinct()
-    kept = docs.join(first, docs[key].eqNullSafe(first["_key"])).drop("_key")
-    return kept.dropDuplicates([key])
+    near = near_duplicates(docs, key, text, distance)
+    first = near.where(F.col(key).eqNullSafe(F.col("component"))).groupBy("component", "fp").agg(F.min(F.struct("_t1", "_t2")).alias("t"))
+    first = first.groupBy("component").agg(F.min("t").alias("t")).select(F.col("t._t1").alias("_f1"), F.col("t._t2").alias("_f2"))
+    d = docs.select("*", *_text_id(key, text))
+    kept = d.join(first, (d["_t1"] == first["_f1"]) & (d["_t2"] == first["_f2"]))
+    one = kept.withColumn("_n", F.row_number().over(Window.partitionBy("_t1", "_t2").orderBy("_t1"))).where("_n = 1")
+    return one.select(*docs.columns)

@@ -48,7 +48,7 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
     the text sink writes plain archives, with its commit protocol for tasks that are repeated. A response holds an
     HTTP head and the payload; a revisit names the digest and the record it refers to. NULL payloads are empty.
     """
-    p = plan_records(pages, key, body)
+    p = plan_records(pages.select(key, url, body), key, body)
     head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.octet_length(_payload(body)).cast("string"), F.lit(BLANK))
     block = F.when(F.col("record_type") == "response", F.concat(head, _payload(body))).otherwise("")
