@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 #: Distinct words that one recursive query contracts at a time: bounds the memory of a task.
 WORDS_PER_QUERY = 40_000
 #: Words whose ids a Python worker remembers. It forgets all when full, which costs time and changes nothing.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
 
 #: All pairs of tokens whose bytes together are a token again; of these, the lower id merges first.
 MERGES = """
