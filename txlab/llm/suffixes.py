@@ -17,7 +17,7 @@ LENGTH = 400
 GRAM = 64
 #: Bytes that multikey quicksort looks at beyond those known to be equal; what still agrees goes to a blind trie.
 SHALLOW = 32
-#: Suffixes with one gram that a task sorts together; more are compared by hashes of all their windows.
+#: Different contexts of one gram that a task sorts together; more are compared by hashes of all their windows.
 GROUP = 20_000
 
 _CHUNK_BITS = 20
@@ -208,41 +208,45 @@ def _sorted_groups(frames: Iterator[pd.DataFrame], by: str) -> Iterator[pd.DataF
         yield pd.concat(held)
 
 
-def _covered(suffixes: DataFrame, length: int, gram: int) -> DataFrame:
-    """``t1, t2, start, stop`` from ``k, t1, t2, pos, left, right`` where no ``k`` has more rows than a task may hold."""
+def _reaches(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+    """``k, c, before, after`` from ``k, c, left, right`` where no ``k`` has more rows than a task may hold."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[tuple] = []
         for g in _sorted_groups(frames, "k"):
-            spans = reach(g["left"].tolist(), g["right"].tolist(), length, gram)
-            out += [(t1, t2, p - a, p + b) for t1, t2, p, (a, b) in zip(g["t1"], g["t2"], g["pos"], spans) if b]
+            if len(g) > 1:
+                spans = reach(g["left"].tolist(), g["right"].tolist(), length, gram)
+                out += [(k, c, a, b) for k, c, (a, b) in zip(g["k"], g["c"], spans) if b]
             if len(out) > 50_000:
-                yield pd.DataFrame(out, columns=["t1", "t2", "start", "stop"])
+                yield pd.DataFrame(out, columns=["k", "c", "before", "after"])
                 out = []
         if out:
-            yield pd.DataFrame(out, columns=["t1", "t2", "start", "stop"])
+            yield pd.DataFrame(out, columns=["k", "c", "before", "after"])
 
-    return (suffixes.repartition("k").sortWithinPartitions("k").mapInPandas(run, "t1 bigint, t2 bigint, start bigint, stop bigint"))
+    return contexts.repartition("k").sortWithinPartitions("k").mapInPandas(run, "k bigint, c string, before bigint, after bigint")
 
 
-def _covered_by_hash(suffixes: DataFrame, length: int, gram: int) -> DataFrame:
+def _reaches_by_hash(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     """The same for grams of any frequency: every window is a row, and those that occur twice are found by their digest.
 
-    Some hundred rows a suffix, but combining counts over them, and no group is gathered.
+    Some hundred rows a context, but combining counts over them, and no group is gathered.
     """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple] = []
         for f in frames:
-            rows = []
-            for k, t1, t2, p, left, right in f[["k", "t1", "t2", "pos", "left", "right"]].itertuples(index=False):
+            for k, c, left, right in f[["k", "c", "left", "right"]].itertuples(index=False):
                 s, at = left[::-1] + right, len(left)
-                rows += [(k, l, hashlib.blake2b(s[at - l:at - l + length], digest_size=16).digest(), t1, t2, p)
+                rows += [(k, c, l, hashlib.blake2b(s[at - l:at - l + length], digest_size=16).digest())
                          for l in range(max(0, length - len(right)), min(at, length - gram) + 1)]
-            yield pd.DataFrame(rows, columns=["k", "l", "w", "t1", "t2", "pos"])
+                if len(rows) > 20_000:
+                    yield pd.DataFrame(rows, columns=["k", "c", "l", "w"])
+                    rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=["k", "c", "l", "w"])
 
-    w = freeze(suffixes.mapInPandas(run, "k bigint, l int, w binary, t1 bigint, t2 bigint, pos bigint"), "windows")
-    m = F.xxhash64("t1", "t2", "pos")
-    twice = w.groupBy("k", "l", "w").agg(F.min(m).alias("a"), F.max(m).alias("b")).where("a <> b").select("k", "l", "w")
-    both = w.join(twice, ["k", "l", "w"]).groupBy("t1", "t2", "pos").agg(F.min("l").alias("low"), F.max("l").alias("high"))
-    return both.select("t1", "t2", (F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + length).alias("stop"))
+    w = freeze(contexts.mapInPandas(run, "k bigint, c string, l int, w binary"), "windows")
+    twice = w.groupBy("k", "l", "w").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("k", "l", "w")
+    both = w.join(twice, ["k", "l", "w"]).groupBy("k", "c").agg(F.min("l").alias("low"), F.max("l").alias("high"))
+    return both.select("k", "c", F.col("high").cast("long").alias("before"), (length - F.col("low")).cast("long").alias("after"))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM,
@@ -256,7 +260,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     Every window of that length holds an anchor whose choice depends on the window alone, about one in ``length / 2``
     bytes. Anchors are counted by the hash of their gram and those met once are dropped; only around the others are
     suffixes cut from the texts, sorted, and compared as far as a window that holds the anchor can reach. A gram with
-    more than ``group`` suffixes goes by hashes of its windows, which has the same result.
+    more than ``group`` different contexts goes by hashes of its windows, which has the same result.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     named = docs.select(F.col(key).alias("key"), body.alias("text"), F.xxhash64(body).alias("t1"),
@@ -276,8 +280,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     m = F.xxhash64("t1", "t2", "pos")
     again = every.groupBy("k").agg(F.min(m).alias("a"), F.max(m).alias("b")).where("a <> b").select("k")
     alive = freeze(every.join(again, "k").select("k", "t1", "t2", "pos").distinct(), "alive")
-    sizes = alive.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    places = (alive.join(sizes, "k").groupBy("t1", "t2").agg(F.collect_list(F.struct("k", "pos", "n")).alias("places")))
+    places = alive.groupBy("t1", "t2").agg(F.collect_list(F.struct("k", "pos")).alias("places"))
     texts = freeze(named.where(F.octet_length("text") >= length).select("t1", "t2", "text").dropDuplicates(["t1", "t2"]).join(places, ["t1", "t2"]), "texts")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -287,18 +290,26 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 b = _bytes(t)
                 for p in ps:
                     at = p["pos"]
-                    rows.append((p["k"], p["n"], t1, t2, at, b[max(0, at - length + gram):at][::-1], b[at:at + length]))
+                    rows.append((p["k"], t1, t2, at, b[max(0, at - length + gram):at][::-1], b[at:at + length]))
                 if len(rows) > 20_000:
-                    yield pd.DataFrame(rows, columns=["k", "n", "t1", "t2", "pos", "left", "right"])
+                    yield pd.DataFrame(rows, columns=["k", "t1", "t2", "pos", "left", "right"])
                     rows = []
             if rows:
-                yield pd.DataFrame(rows, columns=["k", "n", "t1", "t2", "pos", "left", "right"])
-
-    schema = "k bigint, n bigint, t1 bigint, t2 bigint, pos bigint, left binary, right binary"
-    suffixes = texts.mapInPandas(cut, schema)
-    spans = freeze(_covered(suffixes.where(F.col("n") <= group), length, gram), "spans")
-    if alive.groupBy("k").count().where(F.col("count") > group).limit(1).count():
-        spans = spans.union(_covered_by_hash(suffixes.where(F.col("n") > group), length, gram))
+                yield pd.DataFrame(rows, columns=["k", "t1", "t2", "pos", "left", "right"])
+
+    cut_out = texts.mapInPandas(cut, "k bigint, t1 bigint, t2 bigint, pos bigint, left binary, right binary")
+    named_context = cut_out.withColumn("c", F.concat(F.md5("left"), F.md5("right")))
+    # Suffixes that agree as far as a window can reach are one context: it is sorted once, however often it occurs.
+    seen = freeze(named_context.select("k", "c", "t1", "t2", "pos", F.octet_length("left").alias("ll"), F.octet_length("right").alias("rl")), "seen")
+    sizes = freeze(seen.groupBy("k", "c").agg(F.count(F.lit(1)).alias("times"), F.max("ll").alias("ll"), F.max("rl").alias("rl")), "contexts")
+    per_gram = sizes.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    contexts = named_context.select("k", "c", "left", "right").dropDuplicates(["k", "c"]).join(per_gram.where("n > 1"), "k")
+    found = _reaches(contexts.where(F.col("n") <= group), length, gram)
+    if per_gram.where(F.col("n") > group).limit(1).count():
+        found = found.union(_reaches_by_hash(contexts.where(F.col("n") > group), length, gram))
+    whole = sizes.where((F.col("times") > 1) & (F.col("ll") + F.col("rl") >= length)).select("k", "c", F.col("ll").cast("long").alias("before"), F.col("rl").cast("long").alias("after"))
+    covers = found.union(whole).groupBy("k", "c").agg(F.max("before").alias("before"), F.max("after").alias("after"))
+    spans = seen.join(covers, ["k", "c"]).select("t1", "t2", (F.col("pos") - F.col("before")).alias("start"), (F.col("pos") + F.col("after")).alias("stop"))
     spans = spans.groupBy("t1", "t2").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
     def strip(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
