@@ -20,7 +20,14 @@ MIN_RECALL = 0.90
 
 # ---- counts -------------------------------------------------------------------------
 
+def _binary(value, what: str):
+    """``value``, failing at the first row where it is neither 0 nor 1: no row may vanish from a count."""
+    known = value.cast("double").isin(0.0, 1.0)
+    return F.when(known, value).otherwise(F.raise_error(F.lit(f"a {what} is neither 0 nor 1")))
+
+
 def _counts(label, predicted):
+    label, predicted = _binary(label, "label"), _binary(predicted, "prediction")
     return [
         F.count_if((label == 1) & (predicted == 1)).alias("tp"), F.count_if((label == 0) & (predicted == 1)).alias("fp"),
         F.count_if((label == 1) & (predicted == 0)).alias("fn"), F.count_if((label == 0) & (predicted == 0)).alias("tn"),
@@ -93,9 +100,14 @@ def brier_score(df: DataFrame, label: str, score: str, by: list[str] | None = No
 # ---- curves -------------------------------------------------------------------------
 
 def score_groups(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
-    """Rows ``([by,] score, pos, neg)``: one per distinct score, combined before the shuffle."""
-    return df.groupBy(*(by or []), F.col(score).alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+    """Rows ``([by,] score, pos, neg)``: one per distinct score, combined before the shuffle.
+
+    Labels other than 0 and 1, and scores that are NULL or NaN, are errors: they have no place on a curve.
+    """
+    placed = F.when(F.col(score).isNull() | F.isnan(F.col(score).cast("double")), F.raise_error(F.lit("a score is NULL or NaN")))
+    actual = _binary(F.col(label), "label")
+    return df.groupBy(*(by or []), placed.otherwise(F.col(score)).alias("score")).agg(
+        F.count_if(actual == 1).alias("pos"), F.count_if(actual == 0).alias("neg"))
 
 
 def score_curve(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:

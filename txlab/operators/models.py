@@ -30,6 +30,13 @@ PARALLELISM = 4  # fits at a time
 DEEPEST = 30  # Spark ML's limit, used where no depth limit is asked for
 
 
+def tree_depth(depth: int | None) -> int:
+    """Spark ML's depth for a requested one: None is its limit, more than that cannot be built."""
+    if depth is not None and depth > DEEPEST:
+        raise ValueError(f"trees deeper than {DEEPEST} cannot be built")
+    return DEEPEST if depth is None else int(depth)
+
+
 def logistic_regression(params: dict, label: str, rows: int, weight: str | None = None) -> LogisticRegression:
     """C is the inverse penalty of the summed loss; Spark averages the loss, hence 1 / (C * rows)."""
     penalty = params.get("penalty", "l2")
@@ -41,11 +48,10 @@ def logistic_regression(params: dict, label: str, rows: int, weight: str | None
 
 
 def random_forest(params: dict, label: str, rows: int, weight: str | None = None) -> RandomForestClassifier:
-    depth = params.get("max_depth", 10)
     subset = params.get("max_features", "sqrt")
     est = RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=int(params.get("n_estimators", 100)),
-        maxDepth=min(DEEPEST, depth if depth is not None else DEEPEST), seed=int(params.get("random_state", 42)),
+        maxDepth=tree_depth(params.get("max_depth", 10)), seed=int(params.get("random_state", 42)),
         featureSubsetStrategy="all" if subset is None else str(subset),
         minInstancesPerNode=int(params.get("min_samples_leaf", 1)))
     return est.setWeightCol(weight) if weight else est
@@ -54,7 +60,7 @@ def random_forest(params: dict, label: str, rows: int, weight: str | None = None
 def gradient_boosting(params: dict, label: str, rows: int, weight: str | None = None) -> GBTClassifier:
     est = GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=int(params.get("n_estimators", 100)),
-        maxDepth=int(params.get("max_depth", 6)), stepSize=float(params.get("learning_rate", 0.1)),
+        maxDepth=tree_depth(params.get("max_depth", 6)), stepSize=float(params.get("learning_rate", 0.1)),
         seed=int(params.get("random_state", 42)))
     return est.setWeightCol(weight) if weight else est
 
