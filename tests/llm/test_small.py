@@ -127,6 +127,7 @@ def test_quality(awkward, empty, spark):
         assert r.kept == (not r.base_failed and r.n_lost_chars * 100 <= r.n_line_chars * 40)
     got = {r.doc_id: r for r in quality.judge(docs).collect()}
     assert got[12].n_removed_lines == 1 and got[12].cleaned == got[12].text.split("\n")[1] and got[12].kept
+    assert quality.judge(docs).where("kept").count() == sum(r.kept for r in got.values())
     assert quality.judge(empty).count() == 0
     assert {c: t for c, t in quality.judge(docs).dtypes}["removed"] == "int"
 

@@ -93,9 +93,12 @@ def text_figures(docs: DataFrame, text: str = "text") -> DataFrame:
     steps = F.zip_with("_at", F.concat(F.slice("_at", 2, F.size("_at") - 1), F.array(F.lit(None).cast("int"))),
                        lambda a, b: F.least(F.coalesce(b - a, F.lit(5)), F.lit(5)))
     covered = F.when(F.col("_at").isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), lambda s, x: s + x))
-    d = d.select(*keep, covered.cast("long").alias("n_repeat_words"))
-    failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
-    return d.withColumn("base_failed", failed)
+    # A later filter on the verdict must not be pushed below the figures: the optimizer would copy them into it, each
+    # step several times the one before. A partition's number stops that. It is never negative, so decides nothing.
+    d = d.select(*keep, covered.cast("long").alias("n_repeat_words"), F.spark_partition_id().alias("_partition"))
+    failed = ((F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
+              | (F.col("_partition") < 0))
+    return d.withColumn("base_failed", failed).drop("_partition")
 
 
 def judge(docs: DataFrame, text: str = "text", max_lost_percent: int = MAX_LOST_PERCENT) -> DataFrame:
@@ -107,6 +110,6 @@ def judge(docs: DataFrame, text: str = "text", max_lost_percent: int = MAX_LOST_
     """
     made = ["cleaned", "n_lines", "n_removed_lines", "n_line_chars", "n_lost_chars", "lost_too_much", "n_words",
             "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    plain = docs.drop(*made, "_lines", "_w", "_l", "_1", "_5", "_again", "_s", "_at")
+    plain = docs.drop(*made, "_lines", "_w", "_l", "_1", "_5", "_again", "_s", "_at", "_partition")
     out = text_figures(clean_lines(plain, text, max_lost_percent), text)
     return out.withColumn("kept", ~F.col("base_failed") & ~F.col("lost_too_much"))
