@@ -127,7 +127,7 @@ def test_quality(awkward, empty, spark):
         assert r.kept == (not r.base_failed and r.n_lost_chars * 100 <= r.n_line_chars * 40)
     got = {r.doc_id: r for r in quality.judge(docs).collect()}
     assert got[12].n_removed_lines == 1 and got[12].cleaned == got[12].text.split("\n")[1] and got[12].kept
-    assert quality.judge(docs).where("kept").count() == sum(r.kept for r in got.values())
+    assert quality.judge(docs).where("kept").count() == sum(r.kept for r in quality.judge(docs).collect())
     assert quality.judge(empty).count() == 0
     assert {c: t for c, t in quality.judge(docs).dtypes}["removed"] == "int"
 
@@ -181,6 +181,14 @@ def test_line_dedup(spark, awkward, empty):
     assert lines.dedup(empty, "doc_id").count() == 0
 
 
+@pytest.mark.parametrize("lane,n", [(8, 1), (8, 2), (8, 127), (16, 128), (16, 32_767), (32, 32_768)])
+def test_fingerprint_lanes(spark, lane, n):
+    hashes = F.expr("transform(sequence(1, n), i -> IF(n % 2 = 1, -1L, xxhash64(i)))").alias("xs")
+    r = spark.range(1).select(F.lit(n).alias("n")).select(hashes).select("xs", lines._fingerprint("xs", lane).alias("fp")).first()
+    want = sum(1 << j for j in range(64) if 2 * sum(x >> j & 1 for x in r.xs) > n)
+    assert r.fp % (1 << 64) == want
+
+
 def test_toxicity(spark, awkward, empty):
     rows = [(k, prose(k, 40) + (" vilestuff word." if k % 4 == 0 else " plain word."), "s") for k in range(300)]
     docs = frame(spark, rows)
