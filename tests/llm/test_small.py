@@ -181,6 +181,35 @@ def test_line_dedup(spark, awkward, empty):
     assert lines.dedup(empty, "doc_id").count() == 0
 
 
+def test_line_groups_of_near_copies(spark, monkeypatch):
+    import xxhash
+
+    r = random.Random(8)
+    texts = set()
+    for base in (prose(60, 16), prose(61, 16)):
+        for _ in range(14):
+            ws = base.split(" ")
+            for _ in range(r.randint(0, 3)):
+                ws[r.randrange(len(ws))] = prose(r.randint(100, 105), 1)[:-1]
+            texts.add(" ".join(ws))
+    docs = frame(spark, [(k, t, "s") for k, t in enumerate(sorted(texts))])
+    norm = {k: plain_line(t) for k, t in enumerate(sorted(texts))}
+    fps = {}
+    for k, t in norm.items():
+        hs = [xxhash.xxh64_intdigest(w, 42) for w in set(t.split(" "))]
+        fps[k] = sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in hs) > len(hs))
+    low = {k: k for k in norm}
+    for a, b in itertools.combinations(norm, 2):
+        if bin(fps[a] ^ fps[b]).count("1") <= 8 and levenshtein(norm[a], norm[b]) <= int(0.2 * max(len(norm[a]), len(norm[b]))):
+            low = {n: min(low[a], low[b]) if g in (low[a], low[b]) else g for n, g in low.items()}
+    every = lines.line_fingerprints(docs, "doc_id")
+    monkeypatch.setattr(lines._blocks, "__defaults__", (10,))
+    got = {x.key: x.group for x in lines.groups(docs, "doc_id", distance=8).collect()}
+    assert {x.key: x.fp % (1 << 64) for x in every.collect()} == fps
+    assert 1 < len(set(low.values())) < len(low)
+    assert len({(got[k], low[k]) for k in low}) == len(set(low.values())) == len(set(got.values()))
+
+
 @pytest.mark.parametrize("lane,n", [(8, 1), (8, 2), (8, 127), (16, 128), (16, 32_767), (32, 32_768)])
 def test_fingerprint_lanes(spark, lane, n):
     hashes = F.expr("transform(sequence(1, n), i -> IF(n % 2 = 1, -1L, xxhash64(i)))").alias("xs")
