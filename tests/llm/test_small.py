@@ -210,6 +210,43 @@ def test_line_groups_of_near_copies(spark, monkeypatch):
     assert len({(got[k], low[k]) for k in low}) == len(set(low.values())) == len(set(got.values()))
 
 
+def near_lines():
+    """Pairs of lines ``(kind, a, b)`` at edit similarity 0.8 or more: words replaced in lines of several lengths, letters in short ones."""
+    r, out = random.Random(12), []
+    for n, changed in ((10, 1), (8, 1), (20, 1), (20, 3), (40, 1), (40, 6), (60, 9)):
+        while sum(k == (n, changed) for k, _, _ in out) < 12:
+            ws = prose(r.random(), n)[:-1].split(" ")
+            made = list(ws)
+            for i in r.sample(range(n), changed):
+                made[i] = prose(r.random(), 1)[:-1]
+            out.append(((n, changed), " ".join(ws), " ".join(made)))
+    for _ in range(12):
+        line = prose(r.random(), 8)[:-1]
+        at = r.sample([i for i, c in enumerate(line) if c != " "], 3)
+        out.append(("letters", line, "".join("z" if i in at else c for i, c in enumerate(line))))
+    return [(k, a, b) for k, a, b in out if levenshtein(a, b) <= int(0.2 * max(len(a), len(b)))]
+
+
+def test_recall_of_line_groups(spark):
+    pairs = near_lines()
+    texts = sorted({x for _, a, b in pairs for x in (a, b)})
+    docs = frame(spark, [(k, t, "s") for k, t in enumerate(texts)])
+    at = {t: k for k, t in enumerate(texts)}
+    group = {x.key: x.group for x in lines.groups_by_similarity(docs, "doc_id").collect()}
+    alike = {(a, b) for a, b in itertools.combinations(texts, 2) if abs(len(a) - len(b)) <= 0.2 * max(len(a), len(b))
+             and len(set(a.split()) & set(b.split())) * 3 > len(set(a.split())) and levenshtein(a, b) <= int(0.2 * max(len(a), len(b)))}
+    alike |= {(min(a, b), max(a, b)) for _, a, b in pairs}
+    found = Counter((k, group[at[a]] == group[at[b]]) for k, a, b in pairs)
+    print({k: (found[k, True], found[k, True] + found[k, False]) for k, _ in found})
+    assert sum(group[at[a]] == group[at[b]] for a, b in alike) >= 0.95 * len(alike)
+    # Nothing is grouped that all pairs would not group.
+    low = {t: t for t in texts}
+    for a, b in alike:
+        low = {t: min(low[a], low[b]) if g in (low[a], low[b]) else g for t, g in low.items()}
+    assert all(low[a] == low[b] for a, b in itertools.combinations(texts, 2) if group[at[a]] == group[at[b]])
+    assert sum(v for (k, same), v in found.items() if same) > 0 and lines.groups_by_similarity(docs.where("false"), "doc_id").count() == 0
+
+
 @pytest.mark.parametrize("lane,n", [(8, 1), (8, 2), (8, 127), (16, 128), (16, 32_767), (32, 32_768)])
 def test_fingerprint_lanes(spark, lane, n):
     hashes = F.expr("transform(sequence(1, n), i -> IF(n % 2 = 1, -1L, xxhash64(i)))").alias("xs")

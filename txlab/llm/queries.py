@@ -45,7 +45,7 @@ def op2(spark, folder):
 @query("op3_line_dedup")
 def op3(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    r = lines.removals(docs, "doc_id")
+    r = lines.removals(docs, "doc_id", find=lines.groups_by_similarity)
     return (docs.select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("u")).join(r, "u", "left")
             .select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), "removed"))
 
