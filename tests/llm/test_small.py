@@ -390,6 +390,30 @@ def test_simhash(spark, awkward, empty):
     assert simhash.near_duplicates(empty, "doc_id").count() == 0 and simhash.keep_first(empty, "doc_id").count() == 0
 
 
+def test_recall_of_near_copies(spark, awkward, tmp_path):
+    r, texts = random.Random(4), []
+    for n, changed in ((100, 1), (200, 1), (200, 4), (400, 8), (60, 1), (100, 3)):
+        for _ in range(10):
+            ws = prose(r.random(), n)[:-1].split(" ")
+            made = list(ws)
+            for i in r.sample(range(n), changed):
+                made[i] = prose(r.random(), 1)[:-1] + "z"
+            texts += [" ".join(ws), " ".join(made)]
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split(" ") for t in texts)]
+    low = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            low = [low[a] if g == low[b] else g for g in low]
+    docs = frame(spark, [(k, t, "s") for k, t in enumerate(texts)]).select(*corpus_pipeline.COLUMNS)
+    kept = {x.doc_id for x in corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect()}
+    copies = len(texts) - len(set(low))
+    print(f"{len(texts) - len(kept)} of {copies} near copies removed")
+    assert 40 <= copies < 60 and set(low) <= kept and len(kept) - len(set(low)) <= 0.02 * copies
+    # NULL and empty texts are one group, NULL keys never win, and no row is made twice.
+    got = simhash.keep_first(awkward, "doc_id", shingle=5, similarity=0.8).collect()
+    assert sorted(str(x.doc_id) for x in got) == sorted(map(str, [1, 4, 4, 7, 8, 9, 10, None, 11, 12]))
+
+
 @pytest.mark.parametrize("segments,distance", [(2, 4), (2, 5), (3, 4), (4, 3)])
 def test_hamming_links(spark, segments, distance):
     r = random.Random(segments)
