@@ -132,6 +132,20 @@ def test_quality(awkward, empty, spark):
     assert {c: t for c, t in quality.judge(docs).dtypes}["removed"] == "int"
 
 
+def test_quality_keeps_prose_that_mentions_boilerplate(spark):
+    prose_lines = ["The library keeps its catalog in the basement of the old town hall.", "The firm gained market share on its rivals in the second half of the year.",
+                   "The team finished the design update before the end of the week.", "Children who read more at home tend to write better at school.",
+                   "A reader may sign up for the course at the desk, and most of them do so in spring."]
+    junk = ["Read more", "Click here to read more about our services.", "Copyright 2020 Example Company Limited. All rights reserved.", "Sign up for our newsletter!",
+            "This site uses cookies to improve your experience.", "Privacy policy and terms of use.", " | ".join(f"Entry number {k}" for k in range(40)),
+            " > ".join(f"Part {k}" for k in range(9000))]
+    got = [r.rule for r in spark.createDataFrame([(k, x) for k, x in enumerate(prose_lines + junk)], "k long, line string").coalesce(1)
+           .orderBy("k").select(quality.line_fails(F.col("line")).alias("rule")).collect()]
+    assert got[:5] == [None] * 5 and None not in got[5:] and got[11:] == ["navigation", "navigation"]
+    judged = quality.judge(frame(spark, [(k, x, "s") for k, x in enumerate(prose_lines + [junk[6]])])).collect()
+    assert [r.kept for r in judged] == [True] * 5 + [False] and [r.cleaned for r in judged][:5] == prose_lines
+
+
 def plain_line(line):
     w = "".join("0" if c in "123456789" else " " if c in lines.SPACED else c for c in line.lower()).split(" ")
     w = [x for x in w if x]

@@ -12,7 +12,7 @@ MAX_REPEAT_PERCENT = 20
 MAX_LOST_PERCENT = 40
 #: A line without end punctuation passes if it has this many words.
 PROSE_WORDS = 8
-#: Fragments, menus and boilerplate are lines of at most so many characters; longer ones are prose that mentions them.
+#: Fragments are lines of at most so many characters.
 SHORT_CHARS = 200
 #: A line of any length fails if over one character in so many is a symbol.
 SYMBOL_EACH = 10
@@ -20,19 +20,25 @@ SYMBOLS = r"[#*$%&|<>]"
 
 #: A line is finished by one of these, with closing quotes or brackets after it.
 FINISHED = r"""[.!?:;。！？…]["')\]}»”’]*[\x20\x09-\x0D]*$"""
-#: Menus: three or more short entries between separators.
-NAVIGATION = r"""^[^|»›•·>]{0,30}([|»›•·>][^|»›•·>]{0,30}){2,}$"""
-BOILERPLATE = ("(?i)(all rights reserved|privacy policy|cookie policy|terms of (use|service)|uses cookies|accept cookies|"
-               "enable javascript|click here|read more|sign up|log ?in|subscribe (to|now)|newsletter|share (this|on)|"
-               "follow us|skip to (main )?content|back to top|lorem ipsum)")
+#: Menus: three or more entries of at most 30 characters between separators, so no longer run without one.
+SEPARATORS = "|»›•·>"
+LONG_ENTRY = rf"[^{SEPARATORS}]{{31}}"
+#: Whole words only, and together they must be so much of a line: prose may mention them.
+BOILERPLATE_PERCENT = 40
+BOILERPLATE = (r"(?i)(?<![\p{L}\p{N}])(((copyright|©|\(c\)).{0,60})?all rights reserved|privacy policy|cookie policy|terms of (use|service)|"
+               r"((this|our) (web)?site )?uses cookies|accept (all )?cookies|enable javascript|click here|read more|sign up|log ?in|"
+               r"subscribe (to|now)|newsletter|share (this|on)|follow us|skip to (main )?content|back to top|lorem ipsum)(?![\p{L}\p{N}])")
 
 
 def line_fails(line: Column, prose_words: int = PROSE_WORDS) -> Column:
     """Which rule a line with a word breaks: ``punctuation``, ``navigation``, ``boilerplate``, or NULL for none."""
     fragment = ~line.rlike(FINISHED) & (F.size(words(line)) < prose_words)
     noisy = (F.regexp_count(line, F.lit(SYMBOLS)) * SYMBOL_EACH > F.length(line))
-    return (F.when(noisy, "punctuation").when(F.length(line) > SHORT_CHARS, None).when(line.rlike(NAVIGATION), "navigation")
-            .when(line.rlike(BOILERPLATE), "boilerplate").when(fragment, "punctuation"))
+    menu = (F.regexp_count(line, F.lit(f"[{SEPARATORS}]")) >= 2) & ~line.rlike(LONG_ENTRY)
+    phrases = F.length(line) - F.length(F.regexp_replace(line, BOILERPLATE, ""))
+    stock = line.rlike(BOILERPLATE) & (phrases * 100 >= F.length(F.trim(line)) * BOILERPLATE_PERCENT)
+    return (F.when(noisy, "punctuation").when(menu, "navigation").when(stock, "boilerplate")
+            .when(F.length(line) > SHORT_CHARS, None).when(fragment, "punctuation"))
 
 
 def clean_lines(docs: DataFrame, text: str = "text", max_lost_percent: int = MAX_LOST_PERCENT,
