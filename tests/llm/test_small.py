@@ -314,6 +314,24 @@ def test_mixing(awkward, empty, spark):
     assert mixing.plan(empty).count() == 0 and mixing.mix(empty).count() == 0
 
 
+def test_mixing_order(awkward, empty, spark):
+    docs = awkward.union(frame(spark, [(k, prose(k, k % 17), "abc"[k % 3]) for k in range(100, 400)]))
+    rows = mixing.ranked(mixing.plan(docs)).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert (r.position is None) == (r["rank"] is None) == (r.copies == 0)
+        if r.copies:
+            # The demand of the source up to the position is the middle of the document.
+            t = r.position
+            assert abs(r.target * (t + r.slope * (t * t - t)) - min(r.offset + r.size / 2, r.target)) < 1e-6 * r.target
+    taken = sorted((r for r in rows if r.copies), key=lambda r: r["rank"])
+    assert [r["rank"] for r in taken] == list(range(len(taken)))
+    assert [r.position for r in taken] == sorted(r.position for r in taken)
+    first = Counter((r.doc_id, r.size, round(r.position, 9)) for r in mixing.mix(docs).where("copy = 0").withColumn("size", F.size(mixing.words(F.col("text")))).collect())
+    assert first == Counter((r.doc_id, r.size, round(r.position, 9)) for r in taken)
+    assert mixing.ranked(mixing.plan(empty)).count() == 0
+
+
 def test_warc(spark):
     magic = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
     body = "<p>" + "é" * 80

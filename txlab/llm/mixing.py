@@ -97,6 +97,21 @@ def first_position(p: DataFrame) -> Column:
     return F.when(F.col("copies") > 0, position(middle, F.col("target"), F.col("slope")))
 
 
+def ranked(p: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``p`` (a plan) with ``position`` (``first_position``) and ``rank``: the place (from 0) of a document among those taken.
+
+    A range sort by position; the sizes of the ranges give each its first rank. What is not taken has neither.
+    """
+    order = [F.col("position").asc_nulls_last(), key, "size", "_h", "_c"]
+    s = p.withColumn("position", first_position(p)).repartitionByRange(*order).sortWithinPartitions(*order)
+    s = freeze(s.withColumn("_id", F.monotonically_increasing_id()), "ranked")
+    s = s.withColumn("_range", F.shiftright("_id", 33))
+    ranges = s.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    ranges = ranges.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    place = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return s.join(F.broadcast(ranges), "_range").withColumn("rank", F.when(F.col("position").isNotNull(), place)).drop("_id", "_range", "_before")
+
+
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """``docs`` as the run reads them: every copy of a document is a row, sorted by its ``position`` in training.
 

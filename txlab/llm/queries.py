@@ -57,8 +57,8 @@ def op4(spark, folder):
 
 @query("op5_mixing")
 def op5(spark, folder):
-    p = mixing.plan(table(spark, folder, "documents"))
-    return p.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "copies")
+    p = mixing.ranked(mixing.plan(table(spark, folder, "documents")))
+    return p.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "copies", "position", "rank")
 
 
 @query("op6_warc", """
