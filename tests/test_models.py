@@ -156,3 +156,15 @@ def test_calibration(spark):
     assert models.calibration_choice(honest).first()["use_calibrated"] is False  # strictly better only
     empty, _ = models.calibrate(scored.limit(0))
     assert empty.count() == 0
+
+
+def test_catalog_uses_the_defaults(spark, monkeypatch):
+    from txlab.catalog import QUERIES, modelling
+    seen = {}
+    monkeypatch.setattr(modelling.mo, "train_all", lambda train, test, names, f, k, l, params=None, **o: seen.setdefault("train", []).append((names, params)) or ({}, train.limit(0)))
+    monkeypatch.setattr(modelling.mo, "cross_validate", lambda df, *a, **o: seen.update(cv=o) or df.limit(0))
+    for name in ("fit_gbt", "train_all", "cross_validate_smote"):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert seen["train"][0] == (["gradient_boosting"], {"gradient_boosting": {}})
+    assert seen["train"][1] == (["logistic_regression", "random_forest", "gradient_boosting", "no_such_model"], None)
+    assert seen["cv"] == {"strategy": "smote"}

@@ -43,16 +43,15 @@ def fit_forest(spark, folder):
 
 @query("fit_gbt")
 def fit_gbt(spark, folder):
-    """Boosted trees (20 rounds here; 100 is the default)."""
-    return _fit(spark, folder, "gradient_boosting", {"n_estimators": 20, "max_depth": 4})
+    """Boosted trees: 100 rounds of depth 6."""
+    return _fit(spark, folder, "gradient_boosting")
 
 
 @query("train_all")
 def train_all(spark, folder):
-    """Several models; an unknown name is recorded as an error and the rest go on."""
+    """All models; an unknown name is recorded as an error and the rest go on."""
     train, test = _parts(spark, folder)
-    _, results = mo.train_all(train, test, ["logistic_regression", "random_forest", "no_such_model"], FEATURES, KEY, LABEL,
-                              {"random_forest": {"n_estimators": 20}})
+    _, results = mo.train_all(train, test, ["logistic_regression", "random_forest", "gradient_boosting", "no_such_model"], FEATURES, KEY, LABEL)
     return _round(results)
 
 
@@ -74,13 +73,15 @@ def cross_validate(spark, folder):
 @query("cross_validate_smote")
 def cross_validate_smote(spark, folder):
     """The same with synthetic minority rows in the training part of each fold only."""
-    return _round(mo.cross_validate(vectors(spark, folder), "logistic_regression", FEATURES, KEY, LABEL, folds=3, strategy="smote"))
+    return _round(mo.cross_validate(vectors(spark, folder), "logistic_regression", FEATURES, KEY, LABEL, strategy="smote"))
 
 
 @query("random_search")
 def random_search(spark, folder):
-    """Four random settings, three folds each."""
-    _, trials = search.random_search(vectors(spark, folder), "logistic_regression", FEATURES, KEY, LABEL, trials=4)
+    """Twenty random settings of both models that have a search space, three folds each."""
+    df = freeze(vectors(spark, folder), "vectors")
+    found = [search.random_search(df, name, FEATURES, KEY, LABEL)[1] for name in ("logistic_regression", "random_forest")]
+    trials = found[0].unionByName(found[1])
     return _round(trials.select("trial", "model", F.map_values("params").alias("settings"), "pr_auc_mean", "pr_auc_std"))
 
 
@@ -88,7 +89,7 @@ def random_search(spark, folder):
 def refit_best(spark, folder):
     """Search on the training rows, refit the winner, measure on the test rows."""
     train, test = _parts(spark, folder)
-    best, _ = search.random_search(train, "logistic_regression", FEATURES, KEY, LABEL, trials=2)
+    best, _ = search.random_search(train, "logistic_regression", FEATURES, KEY, LABEL)
     _, results = search.refit_best(train, test, "logistic_regression", best, FEATURES, KEY, LABEL)
     return _round(results)
 
@@ -96,7 +97,7 @@ def refit_best(spark, folder):
 @query("model_info")
 def model_info(spark, folder):
     """Settings of a model that was saved and loaded again."""
-    model = mo.fit_model(vectors(spark, folder), "random_forest", FEATURES, LABEL, {"n_estimators": 20})
+    model = mo.fit_model(vectors(spark, folder), "random_forest", FEATURES, LABEL)
     loaded = mo.load_model(mo.save_model(model, scratch_path(spark, "model")))
     return mo.model_info(loaded, "random_forest")
 

@@ -183,6 +183,15 @@ def rebalance_strategies(spark, folder):
     return out
 
 
+@query("rebalance_smote", f"""
+  WITH {VECTORS}, c AS (SELECT "Class", count(*) AS n FROM vectors GROUP BY "Class")
+  SELECT 'smote' AS strategy, "Class", (SELECT max(n) FROM c)::BIGINT AS rows FROM c""")
+def rebalance_smote(spark, folder):
+    """Class sizes after the strategy ``smote``, the one ``rebalance_strategies`` leaves out."""
+    rows = r.rebalance(vectors(spark, folder), "smote", "vec_id", "Class", FEATURES)
+    return rows.groupBy("Class").agg(F.count(F.lit(1)).alias("rows")).select(F.lit("smote").alias("strategy"), "Class", "rows")
+
+
 @query("prepare_end_to_end", f"""
   WITH {TX}, {RANKED}, split AS (SELECT *, CASE WHEN rn <= round(n * 0.2e0) THEN 'test' ELSE 'train' END AS split FROM ranked),
   fit AS (SELECT * FROM split WHERE split = 'train'),

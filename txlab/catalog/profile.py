@@ -142,11 +142,20 @@ def density_histogram(spark, folder):
   SELECT sum(n)::BIGINT AS total_rows, sum(n - 1)::BIGINT AS duplicates, round(sum(n - 1) * 100e0 / sum(n), 6) AS duplicate_pct
   FROM g""")
 def duplicate_rows(spark, folder):
-    """Rows beyond the first of each identical group."""
+    """Rows beyond the first of each group alike in three columns; ``duplicate_whole_rows`` compares all."""
     rows = table(spark, folder, "orders").select("o_orderstatus", "o_orderpriority", "o_orderdate")
     return _round_all(p.duplicate_rows(rows), ["duplicate_pct"])
 
 
+@query("duplicate_whole_rows", """
+  WITH g AS (SELECT *, count(*) AS n FROM orders GROUP BY ALL)
+  SELECT sum(n)::BIGINT AS total_rows, sum(n - 1)::BIGINT AS duplicates, round(sum(n - 1) * 100e0 / sum(n), 6) AS duplicate_pct
+  FROM g""")
+def duplicate_whole_rows(spark, folder):
+    """Rows of which every column is as in an earlier one."""
+    return _round_all(p.duplicate_rows(table(spark, folder, "orders")), ["duplicate_pct"])
+
+
 @query("duplicate_rows_missing", f"""
   WITH {GAPS}, g AS (SELECT CASE WHEN NOT isnan("User") THEN "User" END AS u, "Ticks", "Hour", "Class", count(*) AS n
                      FROM gaps GROUP BY ALL)
