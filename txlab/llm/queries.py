@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import pin, scratch_path
-from . import bpe, lines, mixing, quality, sharding, simhash, suffixes, toxicity, vectors, warc
+from . import bpe, lines, mixing, phrases, quality, resampling, sharding, simhash, suffixes, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -107,3 +107,48 @@ def op9(spark, folder):
 @query("op10_suffix_array_dedup")
 def op10(spark, folder):
     return suffixes.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+@query("op12_importance_resampling", """
+WITH RECURSIVE bits AS (SELECT range::BIGINT AS b, range::BIGINT AS v, 0 AS step FROM range(256)
+  UNION ALL SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, step + 1 FROM bits WHERE step < 8),
+crc AS (SELECT list(v ORDER BY b) AS t FROM bits WHERE step = 8),
+d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+dw AS (SELECT r, unnest(ws) AS w FROM d),
+bw AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+words AS (SELECT DISTINCT w, lower(hex(encode(w))) AS h FROM (SELECT w FROM dw UNION ALL SELECT w FROM bw)),
+bucket AS (SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h) // 2), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT)),
+  lambda a, x: xor(t[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) % 10000 AS b FROM words, crc),
+s AS (SELECT b, count(*)::DOUBLE AS s FROM dw JOIN bucket USING (w) GROUP BY b), t AS (SELECT b, count(*)::DOUBLE AS t FROM bw JOIN bucket USING (w) GROUP BY b),
+gain AS (SELECT b, floor(1000e0 * ln((coalesce(t, 0e0) + 1e0) * ((SELECT coalesce(sum(s), 0e0) FROM s) + 10000e0) / ((coalesce(s, 0e0) + 1e0) * ((SELECT coalesce(sum(t), 0e0) FROM t) + 10000e0))))::BIGINT AS g
+  FROM (SELECT DISTINCT b FROM bucket) LEFT JOIN s USING (b) LEFT JOIN t USING (b)),
+weights AS (SELECT r, sum(g)::BIGINT AS weight FROM dw JOIN bucket USING (w) JOIN gain USING (b) GROUP BY r),
+scored AS (SELECT doc_id, r, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+  + floor(-1000e0 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5e0) / 4294967296e0)))::BIGINT AS score FROM d LEFT JOIN weights USING (r)),
+placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS total FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * total // 100 THEN place END AS rank FROM scored LEFT JOIN placed USING (r)""")
+def op12(spark, folder):
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_collocations", """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), p AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws, count(*)::HUGEINT AS times FROM pieces GROUP BY 1, 2),
+runs AS (SELECT lang, ws, times, unnest([1, 2, 3, 4]) AS m FROM p),
+spots AS (SELECT lang, ws, times, m, unnest(range(1, len(ws) - m + 2)) AS i FROM runs),
+f AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, m, sum(times) AS f FROM spots GROUP BY 1, 2, 3),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= 30),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+valued AS (SELECT c.lang, c.phrase, c.a, k, h.f AS l, t.f AS r, (2000000::HUGEINT * c.a) // (h.f + t.f) AS score FROM cuts c
+  JOIN f h ON h.lang = c.lang AND h.phrase = array_to_string(c.ws[1:k], ' ') JOIN f t ON t.lang = c.lang AND t.phrase = array_to_string(c.ws[k + 1:], ' ')),
+worst AS (SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+sizes AS (SELECT lang, ws, a, m, unnest(range(2, m)) AS s FROM c),
+inner_ AS (SELECT lang, ws, a, s, unnest(range(1, m - s + 2)) AS i FROM sizes),
+held AS (SELECT lang, array_to_string(ws[i:i + s - 1], ' ') AS phrase, max(a) AS longer FROM inner_ GROUP BY 1, 2),
+best AS (SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, encode(w.phrase)) AS rank
+  FROM worst w LEFT JOIN held USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM best JOIN n USING (lang) WHERE rank <= 2000""")
+def op13(spark, folder):
+    return phrases.collocations(table(spark, folder, "documents"))
