@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import pin, scratch_path
-from . import bpe, lines, mixing, phrases, quality, resampling, sharding, simhash, suffixes, toxicity, vectors, warc
+from . import bpe, lines, mixing, neighbour_graph, phrases, quality, resampling, sharding, simhash, suffixes, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -109,6 +109,11 @@ def op10(spark, folder):
     return suffixes.remove_repeats(table(spark, folder, "documents")).drop("kept")
 
 
+@query("op11_nearest_neighbours")
+def op11(spark, folder):
+    return neighbour_graph.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query("op12_importance_resampling", """
 WITH RECURSIVE bits AS (SELECT range::BIGINT AS b, range::BIGINT AS v, 0 AS step FROM range(256)
   UNION ALL SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, step + 1 FROM bits WHERE step < 8),
