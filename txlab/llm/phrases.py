@@ -29,41 +29,48 @@ FILTER_WORDS = 1 << 20
 #: Salts among which the best phrases of a language are found before they meet, in two steps.
 SALTS = (256, 16)
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Two odd bases, each with hashes of its own.
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _LOWER = bytes(10 if b in _BREAKS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-_powers: dict[str, np.ndarray] = {}
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, as many as a portion needs."""
-    if not _powers or len(_powers["up"]) < n:
-        size = max(n, PORTION + (1 << 16))
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        for name, base in (("up", _BASE), ("down", inverse)):
+def _power(kind: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse modulo 2^64, as many as a portion needs."""
+    if kind not in _powers or len(_powers[kind][0]) < n:
+        size = max(n, PORTION + (1 << 18))
+        both = []
+        for base in (_BASES[kind], pow(_BASES[kind], -1, 1 << 64)):
             a = np.full(size, base, np.uint64)
             a[0] = 1
-            _powers[name] = np.cumprod(a)
-    return _powers["up"][:n], _powers["down"][:n]
+            both.append(np.cumprod(a))
+        _powers[kind] = both[0], both[1]
+    return _powers[kind][0][:n], _powers[kind][1][:n]
 
 
 class Words:
     """The words of a byte buffer as places, and hashes of any run of them."""
 
-    def __init__(self, raw: bytes):
+    def __init__(self, raw: bytes | memoryview):
         self.b = np.frombuffer(raw, np.uint8)
         gap = (self.b == 32) | (self.b == 10)
         edge = np.diff(np.concatenate(([True], gap, [True])).astype(np.int8))
         self.start, self.end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         self.piece = np.searchsorted(np.flatnonzero(self.b == 10), self.start)  # line ends before the word
-        up, self.down = _power(len(self.b) + 1)
-        self.sums = np.concatenate(([np.uint64(0)], np.cumsum((self.b.astype(np.uint64) + np.uint64(1)) * up[:-1], dtype=np.uint64)))
+        self.sums: dict[int, np.ndarray] = {}
 
-    def hashes(self, first: np.ndarray, last: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
+    def lengths(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return self.end[last] - self.start[first]
+
+    def hashes(self, first: np.ndarray, last: np.ndarray, salt: np.ndarray | int, kind: int = 0) -> np.ndarray:
         """A hash of the bytes from the start of each word ``first`` to the end of ``last``, mixed with ``salt``."""
+        up, down = _power(kind, len(self.b) + 1)
+        if kind not in self.sums:
+            self.sums[kind] = np.concatenate(([np.uint64(0)], np.cumsum((self.b.astype(np.uint64) + np.uint64(1)) * up[:-1], dtype=np.uint64)))
         s = self.start[first]
-        h = (self.sums[self.end[last]] - self.sums[s]) * self.down[s] + np.asarray(salt, np.uint64)
-        for shift, odd in ((32, 0xD6E8FEB86659FD93), (29, 0xA0761D6478BD642F), (32, 0xE7037ED1A0B428DB)):
+        h = (self.sums[kind][self.end[last]] - self.sums[kind][s]) * down[s] + np.asarray(salt, np.uint64)
+        for shift, odd in ((32, 0xD6E8FEB86659FD93), (29, 0xA0761D6478BD642F)):
             h = (h ^ (h >> np.uint64(shift))) * np.uint64(odd)
         return h ^ (h >> np.uint64(32))
 
@@ -135,28 +142,61 @@ def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     return texts.mapInArrow(run, "lang string, chunk string, own int, times long").groupBy("lang", "chunk", "own").agg(F.sum("times").alias("times"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarray, np.ndarray, np.ndarray, list[str]]]:
-    """The dictionary in blocks of bounded size: words, and per word its chunk's weight, whether it is its own, its language's salt."""
+class Block:
+    """Chunks of the dictionary as words, and per word the weight of its chunk, whether it is its own, and its language."""
+
+    def __init__(self, parts: list[pa.RecordBatch]):
+        t = pa.Table.from_batches(parts).combine_chunks()
+        lang, chunk = t.column(0).combine_chunks().dictionary_encode(), t.column(1).combine_chunks()
+        chunk = chunk.chunk(0) if isinstance(chunk, pa.ChunkedArray) else chunk
+        ends = np.frombuffer(chunk.buffers()[1], np.int64 if pa.types.is_large_string(chunk.type) else np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+        self.w = Words(memoryview(chunk.buffers()[2])[int(ends[0]):int(ends[-1])])  # every chunk ends with a line end
+        of = self.w.piece
+        own, self.times = t.column(2).to_numpy()[of], t.column(3).to_numpy()[of]
+        self.langs = lang.dictionary.to_pylist()
+        self.lang = lang.indices.to_numpy()[of]
+        self.salt = np.array([zlib.crc32(g.encode()) for g in self.langs], np.uint64)[self.lang]
+        self.mine = np.arange(len(of)) - np.searchsorted(of, np.arange(len(t)))[of] < own
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """The dictionary of a task in blocks of about ``PORTION`` bytes."""
+    parts, size = [], 0
     for b in batches:
-        lengths = np.cumsum([len(x) + 1 for x in b.column(1).cast(pa.binary()).to_pylist()])
-        cut = np.concatenate(([0], np.flatnonzero(np.diff(lengths // PORTION)) + 1, [b.num_rows]))
-        for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            if a == z:
-                continue
-            part = b.slice(a, z - a)
-            w = Words(b"\n".join(part.column(1).cast(pa.binary()).to_pylist()))
-            langs = part.column(0).to_pylist()
-            own, times = part.column(2).to_numpy(), part.column(3).to_numpy()
-            first = np.searchsorted(w.piece, np.arange(len(langs)))
-            place = np.arange(len(w.piece)) - first[w.piece]
-            salts = {g: zlib.crc32(g.encode()) for g in set(langs)}
-            yield w, times[w.piece], place < own[w.piece], np.array([salts[g] for g in langs], np.uint64)[w.piece], langs
-
-
-def _runs(w: Words, mine: np.ndarray, n: int) -> np.ndarray:
+        if b.num_rows:
+            parts.append(b)
+            size += b.column(1).nbytes
+        if size >= PORTION:
+            yield Block(parts)
+            parts, size = [], 0
+    if parts:
+        yield Block(parts)
+
+
+def _lines(entries: DataFrame) -> DataFrame:
+    return entries.select("lang", F.concat("chunk", F.lit("\n")).alias("chunk"), "own", "times")
+
+
+def _runs(b: Block, n: int) -> np.ndarray:
     """The first words of all runs of ``n`` words that start in the own part of a chunk."""
-    i = np.flatnonzero(mine[:len(mine) - n + 1]) if len(mine) >= n else np.zeros(0, np.int64)
-    return i[w.piece[i] == w.piece[i + n - 1]]
+    i = np.flatnonzero(b.mine[:len(b.mine) - n + 1]) if len(b.mine) >= n else np.zeros(0, np.int64)
+    return i[b.w.piece[i] == b.w.piece[i + n - 1]]
+
+
+def _starts(sorted_keys: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))) if len(sorted_keys) else np.zeros(0, np.int64)
+
+
+def _weighted(h: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes and their weights; most chunks occur once, and those are only sorted and counted."""
+    once = np.sort(h[times == 1])
+    at = _starts(once)
+    h, t = h[times > 1], times[times > 1]
+    order = np.argsort(h)
+    h, t = h[order], t[order]
+    more = _starts(h)
+    return (np.concatenate([once[at], h[more]]),
+            np.concatenate([np.diff(np.append(at, len(once))), np.add.reduceat(t, more) if len(more) else t]))
 
 
 def _passes(filters: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -173,19 +213,15 @@ def _frequent_filter(entries: DataFrame, n: int, filters: dict, least: int) -> n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for w, times, mine, salt, _ in _blocks(batches):
-            i = _runs(w, mine, n)
+        for b in _blocks(batches):
+            i = _runs(b, n)
             if known is not None:
-                i = i[_passes(known, w.hashes(i, i + n - 2, salt[i]))]
-                i = i[_passes(known, w.hashes(i + 1, i + n - 1, salt[i]))]
-            h = w.hashes(i, i + n - 1, salt[i])
-            order = np.argsort(h)
-            h, t = h[order], times[i][order]
-            at = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
-            total = np.add.reduceat(t, at) if len(at) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(total)], ["h", "n"])
-
-    often = entries.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+                i = i[_passes(known, b.w.hashes(i, i + n - 2, b.salt[i]))]
+                i = i[_passes(known, b.w.hashes(i + 1, i + n - 1, b.salt[i]))]
+            h, total = _weighted(b.w.hashes(i, i + n - 1, b.salt[i]), b.times[i])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(total)], ["h", "n"])
+
+    often = _lines(entries).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 38) & 63 as int))")
     words = often.groupBy(F.shiftrightunsigned("h", 44).alias("at")).agg(F.bit_or(bit).alias("bits")).toPandas()  # FILTER_WORDS rows at most
     out = np.zeros(FILTER_WORDS, np.int64)
@@ -204,21 +240,36 @@ def frequencies(entries: DataFrame, least: int = LEAST, longest: int = LONGEST)
         filters[n] = _frequent_filter(entries, n, filters, least)
     shared = entries.sparkSession.sparkContext.broadcast(filters)  # FILTER_WORDS words a length
 
+    def rows(found: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in found], pa.string()), pa.array([k[2] for k in found], pa.binary()).cast(pa.string()),
+             pa.array([k[1] for k in found], pa.int32()), pa.array(list(found.values()), pa.int64())], ["lang", "phrase", "size", "f"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for w, times, mine, salt, langs in _blocks(batches):
-            raw = w.b.tobytes()
-            found: Counter = Counter()
+        known, found = shared.value, {}
+        for b in _blocks(batches):
+            raw = b.w.b.tobytes()
             for n in range(1, longest + 1):
-                i = _runs(w, mine, n)
-                i = i[_passes(known[n], w.hashes(i, i + n - 1, salt[i]))]
-                for a, z, c, t in zip(w.start[i].tolist(), w.end[i + n - 1].tolist(), w.piece[i].tolist(), times[i].tolist()):
-                    found[langs[c], n, raw[a:z]] += t
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in found], pa.string()), pa.array([k[2] for k in found], pa.binary()).cast(pa.string()),
-                 pa.array([k[1] for k in found], pa.int32()), pa.array(list(found.values()), pa.int64())], ["lang", "phrase", "size", "f"])
-
-    counted = entries.mapInArrow(run, "lang string, phrase string, size int, f long").groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
+                i = _runs(b, n)
+                h = b.w.hashes(i, i + n - 1, b.salt[i])
+                ok = _passes(known[n], h)
+                i, h = i[ok], h[ok]
+                # Equal runs of a block are added up before their words are cut out: 128 bits of hash and the length tell runs apart.
+                order = np.lexsort((b.w.lengths(i, i + n - 1), b.w.hashes(i, i + n - 1, ~b.salt[i], 1), h))
+                i, h = i[order], h[order]
+                second, size = b.w.hashes(i, i + n - 1, ~b.salt[i], 1), b.w.lengths(i, i + n - 1)
+                at = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (second[1:] != second[:-1]) | (size[1:] != size[:-1])))) if len(h) else np.zeros(0, np.int64)
+                total = np.add.reduceat(b.times[i], at) if len(at) else at
+                i = i[at]
+                for g, a, z, t in zip(b.lang[i].tolist(), b.w.start[i].tolist(), b.w.end[i + n - 1].tolist(), total.tolist()):
+                    k = b.langs[g], n, raw[a:z]
+                    found[k] = found.get(k, 0) + t
+            if len(found) > 500_000:
+                yield rows(found)
+                found = {}
+        yield rows(found)
+
+    counted = _lines(entries).mapInArrow(run, "lang string, phrase string, size int, f long").groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
     return counted.where(F.col("f") >= least)
 
 
