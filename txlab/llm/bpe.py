@@ -7,7 +7,10 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+
+from .text import key_text, keyed_back
 
 #: Distinct words that one recursive query contracts at a time: bounds the memory of a task.
 WORDS_PER_QUERY = 40_000
@@ -112,8 +115,7 @@ def encode(docs: DataFrame, key: str, vocabulary: str, pattern: str, text: str =
             ids = [[int(i) for w in ws for i in w[1].split()] for ws in _encoded(vocabulary, pattern, texts)]
             yield pd.DataFrame({key: f[key], "ids": ids})
 
-    kind = dict(docs.dtypes)[key]
-    return docs.selectExpr(f"`{key}`", f"`{text}` AS _text").mapInPandas(run, f"`{key}` {kind}, ids array<int>")
+    return keyed_back(docs.select(key_text(key), F.col(text).alias("_text")).mapInPandas(run, f"`{key}` string, ids array<int>"), docs, key)
 
 
 def decode(tokens: DataFrame, key: str, vocabulary: str, ids: str = "ids") -> DataFrame:
@@ -125,15 +127,14 @@ def decode(tokens: DataFrame, key: str, vocabulary: str, ids: str = "ids") -> Da
                               (line.split() for line in open(vocabulary, "rb") if line.strip())], columns=["hex", "id"])
         con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         for f in frames:
-            rows = pd.DataFrame({"r": range(len(f)), "ids": [[] if i is None else list(i) for i in f["_ids"]]})  # noqa: F841
+            rows = pa.table({"r": pa.array(range(len(f)), pa.int64()), "ids": pa.array([[] if i is None else list(i) for i in f["_ids"]], pa.list_(pa.int32()))})  # noqa: F841
             out = con.execute("""
                 WITH t AS (SELECT r, unnest(ids)::BIGINT AS id, generate_subscripts(ids, 1) AS pos FROM rows)
                 SELECT r, string_agg(hex, '' ORDER BY pos) AS hex FROM t JOIN vocab USING (id) GROUP BY r""").fetchall()
             got = dict(out)
             yield pd.DataFrame({key: f[key], "bytes": [bytes.fromhex(got.get(r, "")) for r in range(len(f))]})
 
-    kind = dict(tokens.dtypes)[key]
-    return tokens.selectExpr(f"`{key}`", f"`{ids}` AS _ids").mapInPandas(run, f"`{key}` {kind}, bytes binary")
+    return keyed_back(tokens.select(key_text(key), F.col(ids).alias("_ids")).mapInPandas(run, f"`{key}` string, bytes binary"), tokens, key)
 
 
 def round_trip(docs: DataFrame, key: str, vocabulary: str, pattern: str, text: str = "text") -> DataFrame:
@@ -153,6 +154,5 @@ def round_trip(docs: DataFrame, key: str, vocabulary: str, pattern: str, text: s
             out.insert(0, key, f[key])
             yield out
 
-    kind = dict(docs.dtypes)[key]
-    return (docs.selectExpr(f"`{key}`", f"`{text}` AS _text")
-            .mapInPandas(run, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"))
+    return keyed_back(docs.select(key_text(key), F.col(text).alias("_text"))
+                      .mapInPandas(run, f"`{key}` string, n_tokens bigint, ids_sha256 string, decoded_sha256 string"), docs, key)

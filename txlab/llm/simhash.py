@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import freeze
 from .components import components
 from .lines import banded_groups
+from .text import key_text, keyed_back
 
 #: Words in a shingle, and the most bits in which linked fingerprints differ.
 SHINGLE = 4
@@ -65,9 +66,8 @@ def fingerprints(docs: DataFrame, key: str, text: str = "text", shingle: int = S
             bits = np.array([fingerprint(t, shingle) for t in f["_text"]], dtype=np.uint64).view(np.int64)
             yield pd.DataFrame({key: f[key], "_t1": f["_t1"], "_t2": f["_t2"], "fp": bits})
 
-    kind = dict(docs.dtypes)[key]
-    return (docs.select(F.col(key), *_text_id(key, text), F.col(text).alias("_text"))
-            .mapInPandas(run, f"`{key}` {kind}, _t1 bigint, _t2 bigint, fp bigint"))
+    return keyed_back(docs.select(key_text(key), *_text_id(key, text), F.col(text).alias("_text"))
+                      .mapInPandas(run, f"`{key}` string, _t1 bigint, _t2 bigint, fp bigint"), docs, key)
 
 
 def _segments(count: int) -> list[tuple[int, int]]:
@@ -140,8 +140,6 @@ def similar(docs: DataFrame, key: str, text: str, shingle: int, similarity: floa
     """
     import xxhash
 
-    kind = dict(docs.dtypes)[key]
-
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             sets = [np.unique(shingle_hashes(t, shingle)) for t in f["_text"]]
@@ -153,7 +151,8 @@ def similar(docs: DataFrame, key: str, text: str, shingle: int, similarity: floa
             yield pd.DataFrame({"h": f["h"], "s": [np.unique(shingle_hashes(t, shingle)).view(np.int64) for t in f["_text"]]})
 
     texts = docs.select(F.col(key), *_text_id(key, text), F.col(text).alias("_text"))
-    every = freeze(texts.mapInPandas(sketch, f"`{key}` {kind}, _t1 bigint, _t2 bigint, fp string, n_chars int, v array<bigint>"), "sketches")
+    every = texts.withColumn(key, key_text(key)).mapInPandas(sketch, f"`{key}` string, _t1 bigint, _t2 bigint, fp string, n_chars int, v array<bigint>")
+    every = freeze(keyed_back(every, docs, key), "sketches")
     nodes = every.groupBy(F.col("fp").alias("h")).agg(F.first("n_chars").alias("n_chars"), F.first("v").alias("v"), F.min(key).alias("low"),
                                                       F.min(F.struct("_t1", "_t2")).alias("t"))
     nodes = freeze(nodes, "nodes")

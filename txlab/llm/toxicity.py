@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import freeze
+from .text import key_text, keyed_back
 
 #: Lengths of n-grams in bytes of the lower-cased text, and the hash buckets they share.
 LENGTHS = (4, 5, 6)
@@ -124,8 +125,7 @@ def score(docs: DataFrame, key: str, weights: np.ndarray, intercept: float, text
                 out[k] = b + (w[np.unique(np.concatenate(hits))].sum(dtype=np.float64) if hits else 0.0)
             yield pd.DataFrame({key: f[key], "score": 1 / (1 + np.exp(-np.clip(out, -500, 500)))})
 
-    kind = dict(docs.dtypes)[key]
-    return docs.selectExpr(f"`{key}`", f"`{text}` AS _text").mapInPandas(run, f"`{key}` {kind}, score double")
+    return keyed_back(docs.select(key_text(key), F.col(text).alias("_text")).mapInPandas(run, f"`{key}` string, score double"), docs, key)
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 5) -> DataFrame:
