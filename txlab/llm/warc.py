@@ -115,25 +115,43 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     Tasks list every place where a header with a length follows a magic, and where that record would end. Only the
     places that the chain from the start of a file comes to are records; magics and whole records inside a payload are
-    not. A payload that holds magics was cut there, and is put together from its segments. A file that does not begin
-    with a record gives none; a chain that breaks off ends there. No files with records give no rows.
+    not. A payload or a head that holds magics was cut there, and is put together from its segments. A file that does not begin
+    with a record, or whose chain breaks off before its end, is an error, as records would be missing. No files give no rows.
     """
     s = _segments(spark, path)
     head = F.substring_index("value", BLANK, 1)
-    light = s.select("file", "block", "n", F.octet_length("value").cast("long").alias("bytes"), head.alias("head"),
-                     F.instr("value", BLANK).alias("_at"))
-    light = light.withColumn("_length", F.when((F.col("_at") > 0) & F.col("head").rlike(r"^\d\r\n"), F.expr(r"try_cast(trim(regexp_extract(head, '(?i)\\r\\nContent-Length:[ \\t]*(\\d+)[ \\t]*(?:\\r\\n|$)', 1)) AS BIGINT)")))
-    light = freeze(light.select("file", "block", "n", "bytes", (F.octet_length("head") + len(BLANK)).cast("long").alias("_head"), "_length"), "segments")
+    light = s.select("file", "block", "n", F.octet_length("value").cast("long").alias("bytes"), head.alias("head"), F.instr("value", BLANK).alias("_at"))
+    length = F.expr(r"try_cast(regexp_extract(concat(head, if(_at > 0, '\r\n', '')), '(?i)\\r\\nContent-Length:[ \\t]*(\\d+)[ \\t]*\\r\\n', 1) AS BIGINT)")
+    light = light.select("file", "block", "n", "bytes", F.col("head").rlike(r"^\d\r\n").alias("_opens"), length.alias("_says"),
+                         F.when(F.col("_at") > 0, F.octet_length("head") + len(BLANK)).cast("long").alias("_blank"))
+    light = freeze(light, "segments")
     cut = len(MAGIC)
     # Where a segment's magic starts: all segments and magics before it, by split and then within the split.
     blocks = light.groupBy("file", "block").agg(F.sum(F.col("bytes") + cut).alias("_sum"))
     blocks = blocks.withColumn("_before", F.sum("_sum").over(Window.partitionBy("file").orderBy("block")) - F.col("_sum"))
     inside = F.coalesce(F.sum(F.col("bytes") + cut).over(Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = freeze(light.withColumn("_in", inside).join(blocks, ["file", "block"]).withColumn("start", F.col("_before") + F.col("_in") - cut)
-                    .select("file", "block", "n", "bytes", "_head", "_length", "start"), "places")
+                    .drop("_in", "_before", "_sum"), "places")
+    # A head may hold magics itself. It ends at the first blank line from its segment on, and its length is the first one
+    # stated from there on: both are looked for in the split first, and then in the splits behind it.
+    sees = {"_end": F.when(F.col("_blank").isNotNull(), F.col("start") + cut + F.col("_blank")), "_len": F.when(F.col("_says").isNotNull(), F.struct("start", F.col("_says").alias("v")))}
+    onward = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    later = Window.partitionBy("file").orderBy("block").rowsBetween(1, Window.unboundedFollowing)
+    firsts = placed.groupBy("file", "block").agg(*[F.min(v).alias(k) for k, v in sees.items()])
+    firsts = firsts.select("file", "block", *[F.first(k, ignorenulls=True).over(later).alias(f"{k}_later") for k in sees])
+    ahead = placed.select("*", *[F.first(v, ignorenulls=True).over(onward).alias(f"{k}_here") for k, v in sees.items()]).join(firsts, ["file", "block"])
+    ahead = ahead.select("file", "block", "n", "bytes", "start", "_opens", *[F.coalesce(f"{k}_here", f"{k}_later").alias(k) for k in sees])
+    known = F.col("_opens") & (F.col("start") >= 0) & (F.col("_len.start") < F.col("_end"))
+    placed = freeze(ahead.select("file", "block", "n", "bytes", "start", F.when(known, F.col("_end") - F.col("start") - cut).alias("_head"),
+                                 F.when(known, F.col("_len.v")).alias("_length")), "candidates")
     whole = cut + F.col("_head") + F.col("_length")
-    candidates = placed.where(F.col("_length").isNotNull() & (F.col("start") >= 0)).withColumn("next", F.col("start") + whole + len(BLANK))
+    candidates = placed.where(F.col("_length").isNotNull()).withColumn("next", F.col("start") + whole + len(BLANK))
     chain = _reachable(spark, candidates).withColumn("_on", F.lit(True))
+    ends = placed.groupBy("file").agg(F.max(F.col("start") + cut + F.col("bytes")).alias("_size"))
+    reached = candidates.join(chain, ["file", "start"]).groupBy("file").agg(F.max("next").alias("_reached"))
+    broken = ends.join(reached, "file", "left").where(F.coalesce("_reached", F.lit(0)) < F.col("_size") - len(BLANK)).select("file", "_reached").first()
+    if broken:
+        raise ValueError(f"{broken['file']}: no record follows at byte {broken['_reached'] or 0}")
 
     # Every segment belongs to the last record that starts before it, within its split or an earlier one.
     marked = placed.join(chain, ["file", "start"], "left")
