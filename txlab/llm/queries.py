@@ -106,7 +106,8 @@ def op9(spark, folder):
 
 @query("op10_suffix_array_dedup")
 def op10(spark, folder):
-    return suffixes.remove_repeats(table(spark, folder, "documents")).drop("kept")
+    found = suffixes.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") == 0).alias("kept"))
 
 
 @query("op11_nearest_neighbours")
