@@ -359,6 +359,32 @@ def test_warc(spark):
     assert warc.read_pages(spark, path).count() == 0
 
 
+def test_warc_magics_in_heads(spark):
+    """A magic in the URL, one at the end of a header, and splits that cut heads anywhere."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rows = [(1, "http://a/x", "<p>1"), (2, "http://a/WARC/1.0/x", "<p>2"), (3, "http://a/WARC/1.", "<p>WARC/1.0\r\n3"), (4, "WARC/1." * 30, "<p>4"), (5, "http://a/WARC/1.0%0D%0AContent-Length: 3", "5")]
+    path = scratch_path(spark, "warc")
+    warc.write_warc(spark.createDataFrame(rows * 1, "page_id long, url string, html string").coalesce(1), path)
+    try:
+        for split in ("1000000", "300", "41"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            got = sorted((r.page_id, r.url, bytes(r.payload).decode()) for r in warc.read_pages(spark, path).collect())
+            assert got == rows, split
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_warc_broken_chain(spark, tmp_path):
+    record = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    for name, body in (("cut", record + record.replace(": 5", ": 50")), ("junk", "x" + record), ("hole", record + "x" * 20 + record)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.warc").write_bytes(body.encode())
+        if name == "cut":
+            continue
+        with pytest.raises(ValueError):
+            warc.read_warc(spark, str(tmp_path / name))
+
+
 def test_warc_split_files(spark):
     """Splits far smaller than a record: places and segments cross their ends."""
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -533,7 +559,7 @@ def test_long_text_anchors_agree_with_short_chunks(monkeypatch):
 
 def test_pipeline(spark, awkward, tmp_path):
     docs = awkward.select(*corpus_pipeline.COLUMNS).union(spark.createDataFrame(
-        [(100 + k, prose(k, 50), "en", "abc"[k % 3], 1) for k in range(30)], "doc_id long, text string, lang string, source string, n_chars long"))
+        [(100 + k, prose(1000 + k, 50), "en", "abc"[k % 3], 1) for k in range(30)], "doc_id long, text string, lang string, source string, n_chars long"))
     docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     step = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:3]:
@@ -547,3 +573,27 @@ def test_pipeline(spark, awkward, tmp_path):
     assert {r.doc_id for r in result} == mixed
     text = {(r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in step.collect()}
     assert {(r.doc_id, r.decoded_sha256) for r in result} <= text
+
+
+LARGE = (1 << 53) + 1
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_keys_beside_null(spark, kind):
+    """Large whole numbers and texts as keys come back unchanged from batches that hold a NULL key."""
+    key = (lambda k: k) if kind == "long" else (lambda k: None if k is None else f"k{k}")
+    docs = spark.createDataFrame([(key(k), prose(k or 0, 20)) for k in (LARGE, None, 3)], f"doc_id {kind}, text string").coalesce(1)
+    want = sorted(map(str, (key(LARGE), None, key(3))))
+    path, pattern, _ = encoding()
+    labels = spark.createDataFrame([(key(3), 1)], f"doc_id {kind}, toxic int")
+    tokens = bpe.encode(docs, "doc_id", path, pattern)
+    for out in (bpe.round_trip(docs, "doc_id", path, pattern), tokens, bpe.decode(tokens, "doc_id", path), simhash.near_duplicates(docs, "doc_id"),
+                simhash.similar(docs, "doc_id", "text", 5, 0.8), toxicity.classify(docs, labels)):
+        assert dict(out.dtypes)["doc_id"] == ("bigint" if kind == "long" else "string")
+        assert sorted(str(r.doc_id) for r in out.collect()) == want
+
+
+def test_decode_of_batches_without_ids(spark):
+    path, pattern, _ = encoding()
+    docs = spark.createDataFrame([(1, ""), (2, None)], "doc_id long, text string")
+    assert [bytes(r.bytes) for r in bpe.decode(bpe.encode(docs, "doc_id", path, pattern), "doc_id", path).collect()] == [b"", b""]
