@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from txlab.operators import models, scoring, search
+from txlab.operators import calibration, models, scoring, search
 from txlab.operators.resample import with_class_weights
 from txlab.plans import evaluation
 
@@ -92,11 +92,34 @@ def test_list_and_promote(spark, data, tmp_path):
     for name in ("b", "a"):
         models.save_model(model, str(tmp_path / "saved" / name))
     assert [r["name"] for r in models.list_models(spark, str(tmp_path / "saved")).orderBy("name").collect()] == ["a", "b"]
-    plain = evaluation.score_promoted(df, evaluation.promote(model, "a", str(tmp_path / "p"), 0.3))
+    plain = evaluation.score_promoted(df, evaluation.promote(model.stages, "a", str(tmp_path / "p"), 0.3))
     assert plain.exceptAll(scoring.score_batch(df, model, 0.3)).count() == 0
-    tuned = evaluation.score_promoted(df, evaluation.promote(model, "a", str(tmp_path / "q"), 0.3, (2.0, -1.0))).first()
+    sigmoids = calibration.Sigmoids([(2.0, -1.0), (4.0, -2.0)])
+    tuned = evaluation.score_promoted(df, evaluation.promote(model.stages, "a", str(tmp_path / "q"), 0.3, sigmoids)).first()
     raw = plain.where(F.col("id") == tuned["id"]).first()["fraud_probability"]
-    assert tuned["fraud_probability"] == pytest.approx(1 / (1 + np.exp(1 - 2 * raw)))
+    assert tuned["fraud_probability"] == pytest.approx((1 / (1 + np.exp(1 - 2 * raw)) + 1 / (1 + np.exp(2 - 4 * raw))) / 2)
+
+
+def test_evaluation_job(spark, data, tmp_path):
+    """Train, calibrate, compare, threshold, promote, load and score: what is loaded decides as the pieces do by hand."""
+    df = data[0].withColumn("f1", F.col("f1") * 50 + 7)
+    train, test = df.where("id % 3 > 0"), df.where("id % 3 = 0")
+    ranked, chosen = evaluation.evaluation_job(train, test, ["logistic_regression", "random_forest"], FEATURES, "id", "Class", str(tmp_path),
+                                               params={"random_forest": {"n_estimators": 5}})
+    rows = ranked.orderBy("rank").collect()
+    assert [r["rank"] for r in rows] == [1, 2] and rows[0]["pr_auc"] >= rows[1]["pr_auc"]
+    assert all(r["use_calibrated"] == (r["calibrated_brier"] < r["original_brier"]) and r["reason"] is None for r in rows)
+    best = chosen.first()
+    assert best["best_model"] == rows[0]["model"] and best["threshold"] == rows[0]["threshold"]
+    out = evaluation.score_promoted(test, str(tmp_path))
+    assert out.columns == [*test.columns, "fraud_probability", "fraud_decision", "threshold"]
+    assert out.select(*test.columns).exceptAll(test).count() == 0
+    assert out.where("fraud_decision != CAST(fraud_probability >= threshold AS INT)").count() == 0
+    assert out.first()["threshold"] == best["threshold"]
+    unit = models.load_model(f"{tmp_path}/unit")
+    scaler = unit.stages[0]
+    mean = train.agg(F.avg("f1")).first()[0]
+    assert scaler.getOrDefault("means")[1] == pytest.approx(mean) and bool(unit.stages[-1].getOrDefault("slopes")) == rows[0]["use_calibrated"]
 
 
 @pytest.mark.parametrize("strategy", ["none", "class_weight", "under", "smote"])
@@ -143,19 +166,57 @@ def test_search_and_refit(data):
     assert results.first()["roc_auc"] > 0.6
 
 
-def test_calibration(spark):
+def calibration_rows(spark, n=2000):
     rng = np.random.default_rng(0)
-    p = rng.random(2000)
-    label = (rng.random(2000) < p ** 3).astype(int)
-    scored = spark.createDataFrame([(i, int(y), float(s)) for i, (y, s) in enumerate(zip(label, p))], "key int, label int, score double")
-    final, choice = models.calibrate(scored)
+    p = rng.random(n).round(3)
+    label = (rng.random(n) < p ** 3).astype(int)
+    return spark.createDataFrame([(i, int(y), float(s)) for i, (y, s) in enumerate(zip(label, p))], "key int, label int, score double"), label, p
+
+
+def test_calibration(spark):
+    scored = calibration_rows(spark)[0]
+    final, choice = calibration.calibrate(scored)
     row = choice.first()
-    assert row["use_calibrated"] and row["calibrated_brier"] < row["original_brier"]
+    assert row["use_calibrated"] and row["calibrated_brier"] < row["original_brier"] and row["reason"] is None
     assert final.where("final != calibrated").count() == 0
     honest = scored.withColumn("calibrated", F.col("score"))
-    assert models.calibration_choice(honest).first()["use_calibrated"] is False  # strictly better only
-    empty, _ = models.calibrate(scored.limit(0))
-    assert empty.count() == 0
+    assert calibration.calibration_choice(honest).first()["use_calibrated"] is False  # strictly better only
+
+
+def test_sigmoids_minimise_the_smoothed_loss(spark):
+    """Against plain Newton steps in numpy, on the rows outside each fold."""
+    scored, label, p = calibration_rows(spark)
+    fold = np.array([r["fold"] for r in scored.withColumn("fold", calibration.calibration_fold("key")).orderBy("key").collect()])
+    assert set(fold) == set(range(5))
+    got = calibration.platt_cross_fit(scored)[()].pairs
+    for j in range(5):
+        x, y = p[fold != j], label[fold != j]
+        n1, n0 = y.sum(), (1 - y).sum()
+        t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+        a, w = np.stack([x, np.ones(len(x))], axis=1), np.zeros(2)
+        for _ in range(50):
+            q = 1 / (1 + np.exp(-a @ w))
+            w -= np.linalg.solve((a * (q * (1 - q))[:, None]).T @ a, a.T @ (q - t))
+        assert np.allclose(got[j], w, atol=1e-8)
+
+
+def test_calibration_that_cannot_be_fitted(spark):
+    schema = "model string, key int, label int, score double"
+    rows = [("one class", k, 0, k / 50) for k in range(50)] + [("lone", k, int(k == 3), k / 50) for k in range(50)] + [("flat", k, k % 2, 0.5) for k in range(50)]
+    rows += [("apart", k, int(k >= 25), float(k >= 25)) for k in range(50)]
+    fits = calibration.platt_cross_fit(spark.createDataFrame(rows, schema), by=["model"])
+    assert fits["one class",].reason and fits["lone",].reason and not fits["lone",].pairs
+    assert fits["flat",].reason is None and all(abs(a * 0.5 + b) < 0.3 for a, b in fits["flat",].pairs)
+    assert all(1 / (1 + np.exp(-(a + b))) > 0.9 and 1 / (1 + np.exp(-b)) < 0.1 for a, b in fits["apart",].pairs)  # finite for separable rows
+    final, choice = calibration.calibrate(spark.createDataFrame(rows, schema), by=["model"])
+    reasons = {r["model"]: (r["use_calibrated"], r["reason"]) for r in choice.collect()}
+    assert reasons["lone"] == (False, calibration.ONE_CLASS) and final.where("model = 'lone' AND final != score").count() == 0
+    empty, choice = calibration.calibrate(spark.createDataFrame(rows, schema).where("false"))
+    assert empty.count() == 0 and choice.first()["reason"] == calibration.ONE_CLASS
+    with pytest.raises(Exception, match="neither 0 nor 1"):
+        calibration.platt_cross_fit(spark.createDataFrame([("m", 1, 2, 0.5)], schema))
+    with pytest.raises(Exception, match="NULL or NaN"):
+        calibration.platt_cross_fit(spark.createDataFrame([("m", 1, 1, None)], schema))
 
 
 def test_catalog_uses_the_defaults(spark, monkeypatch):

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from ..functions import rounded
-from ..operators import models as mo, search
+from ..operators import calibration, models as mo, search
 from ..operators.prepare import stratified_split
+from ..operators.scoring import DECISION, PROBABILITY
+from ..plans import evaluation
 from ..session import freeze, scratch_path
 from .registry import query
-from .roles import FEATURES, SCORED, scored, vectors
+from .metrics import RESULTS
+from .roles import FEATURES, SCORED, SCORED_MODELS, scored, scored_models, sql_hash, sql_uniform, transactions, vectors
 
 KEY, LABEL = "vec_id", "Class"
 
@@ -102,13 +106,72 @@ def model_info(spark, folder):
     return mo.model_info(loaded, "random_forest")
 
 
-@query("platt_calibrate")
+FOLD = f"floor({sql_uniform(sql_hash('key', '42', 'calibration'))} * 5)::INTEGER"
+PLATT = f"""cal_rows AS (SELECT *, {FOLD} AS fold FROM scored_models),
+cal_g AS (SELECT model, fold, score, sum(label)::DOUBLE AS pos, sum(1 - label)::DOUBLE AS neg FROM cal_rows GROUP BY ALL),
+cal_n AS (SELECT model, j, sum(pos) AS np, sum(neg) AS nn FROM cal_g, (SELECT unnest(range(5)) AS j) WHERE fold <> j GROUP BY ALL),
+cal_fit AS (
+  SELECT model, j, 0 AS step, 0e0 AS a, ln((np + 1) / (nn + 1)) AS b, (np + 1) / (np + 2) AS hi, 1 / (nn + 2) AS lo FROM cal_n
+  UNION ALL
+  SELECT model, j, step + 1, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b - (haa * gb - hab * ga) / (haa * hbb - hab * hab), hi, lo
+  FROM (SELECT model, j, step, a, b, hi, lo, sum(g * score) AS ga, sum(g) AS gb, sum(h * score * score) AS haa, sum(h * score) AS hab, sum(h) AS hbb
+        FROM (SELECT *, pos * (q - hi) + neg * (q - lo) AS g, (pos + neg) * q * (1 - q) AS h
+              FROM (SELECT f.*, score, pos, neg, 1 / (1 + exp(-(a * score + b))) AS q
+                    FROM cal_fit f JOIN cal_g g ON g.model = f.model AND g.fold <> f.j WHERE step < 15)) GROUP BY ALL)),
+sigmoids AS (SELECT model, j, a, b FROM cal_fit WHERE step = 15),
+cal AS (SELECT r.*, 1 / (1 + exp(-(a * score + b))) AS calibrated FROM cal_rows r JOIN sigmoids s ON s.model = r.model AND s.j = r.fold),
+briers AS (SELECT model, avg((score - label) * (score - label)) AS original_brier, avg((calibrated - label) * (calibrated - label)) AS calibrated_brier FROM cal GROUP BY model),
+final AS (SELECT model, key, label, round(CASE WHEN calibrated_brier < original_brier THEN calibrated ELSE score END, 6) AS score FROM cal JOIN briers USING (model))"""
+CALIBRATED = SCORED_MODELS + ", " + PLATT + RESULTS[len(SCORED_MODELS):].replace("scored_models", "final")
+
+
+@query("platt_fit", f"""
+  WITH RECURSIVE {SCORED_MODELS}, {PLATT} SELECT model, j::INTEGER AS fold, round(a, 6) AS slope, round(b, 6) AS intercept FROM sigmoids""")
+def platt_fit(spark, folder):
+    """The sigmoid of every model and fold, fitted on the rows of the other folds."""
+    fits = calibration.platt_cross_fit(scored_models(spark, folder), by=["model"])
+    rows = [(g[0], j, a, b) for g, s in fits.items() for j, (a, b) in enumerate(s.pairs)]
+    return _round(spark.createDataFrame(rows, "model string, fold int, slope double, intercept double"))
+
+
+@query("platt_calibrate", f"""
+  WITH RECURSIVE {SCORED_MODELS}, {PLATT}
+  SELECT key, label, score, round(calibrated, 6) AS calibrated, round(CASE WHEN calibrated_brier < original_brier THEN calibrated ELSE score END, 6) AS final
+  FROM cal JOIN briers USING (model) WHERE model = 'partial'""")
 def platt_calibrate(spark, folder):
-    """Calibrate on one half of the rows, keep it only if it is better on the other."""
-    final, _ = mo.calibrate(scored(spark, folder))
+    """Scores calibrated out of fold, kept only if that is better."""
+    final, _ = calibration.calibrate(scored(spark, folder))
     return _round(final).select("key", "label", "score", "calibrated", "final")
 
 
+@query("evaluate_calibrated", f"""
+  WITH RECURSIVE {CALIBRATED}
+  SELECT r.*, round(original_brier, 6) AS original_brier, round(calibrated_brier, 6) AS calibrated_brier, calibrated_brier < original_brier AS use_calibrated, NULL::VARCHAR AS reason
+  FROM results r JOIN briers USING (model)""")
+def evaluate_calibrated(spark, folder):
+    """Every model with its own calibration, then all metrics."""
+    return _round(evaluation.evaluate_calibrated(scored_models(spark, folder), digits=6)[0])
+
+
+@query("score_promoted_unit", f"""
+  WITH RECURSIVE {CALIBRATED},
+  best AS (SELECT model, threshold, calibrated_brier < original_brier AS use FROM results JOIN briers USING (model) ORDER BY pr_auc DESC, model LIMIT 1),
+  mean AS (SELECT key, score, avg(1 / (1 + exp(-(a * score + b)))) AS smooth, any_value(threshold) AS threshold, any_value(use) AS use
+           FROM scored_models JOIN best USING (model) JOIN sigmoids USING (model) GROUP BY ALL)
+  SELECT key AS event_id, round(CASE WHEN use THEN smooth ELSE score END, 6) AS fraud_probability,
+         (CASE WHEN use THEN smooth ELSE score END >= threshold)::INTEGER AS fraud_decision, threshold FROM mean""")
+def score_promoted_unit(spark, folder):
+    """Calibrate, compare, choose a threshold, promote, load, score: the evaluation job on closed-form models."""
+    tx = transactions(spark, folder)
+    expressions = {"amount": "round(1D / (1D + exp(-((Amount - 50D) / 40D))), 6)", "inverse": "round(1D / (1D + exp(-((50D - Amount) / 40D))), 6)",
+                   "partial": "round(1D / (1D + exp(-(Class * 2D + Ticks / 50D - 1.5D))), 6)"}
+    stages = {n: [SQLTransformer(statement=f"SELECT *, {e} AS {PROBABILITY} FROM __THIS__")] for n, e in expressions.items()}
+    path = scratch_path(spark, "promoted")
+    evaluation.compare_and_promote(scored_models(spark, folder), stages, path, digits=6)
+    out = evaluation.score_promoted(tx, path).select("event_id", PROBABILITY, DECISION, "threshold")
+    return out.withColumn(PROBABILITY, rounded(F.col(PROBABILITY)))
+
+
 @query("calibration_choice", f"""
   WITH {SCORED}, c AS (SELECT *, 1e0 / (1e0 + exp(-(4e0 * score - 3e0))) AS calibrated FROM scored)
   SELECT round(avg((score - label) * (score - label)), 6) AS original_brier,
@@ -116,4 +179,4 @@ def platt_calibrate(spark, folder):
          avg((calibrated - label) * (calibrated - label)) < avg((score - label) * (score - label)) AS use_calibrated FROM c""")
 def calibration_choice(spark, folder):
     """Brier score before and after a given sigmoid, and which to keep."""
-    return _round(mo.calibration_choice(mo.platt_apply(scored(spark, folder), 4.0, -3.0)))
+    return _round(calibration.calibration_choice(calibration.platt_apply(scored(spark, folder), 4.0, -3.0)))

@@ -1,4 +1,4 @@
-"""Classifiers, cross-validation, search, calibration - on Spark ML."""
+"""Classifiers and cross-validation on Spark ML."""
 
 from __future__ import annotations
 
@@ -11,10 +11,9 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import hash_hex, logistic, uniform
 from ..session import freeze
 from .metrics import (
-    DEFAULT_THRESHOLD, average_precision, binary_metrics, brier_score, evaluate_models, roc_auc, score_curve,
+    DEFAULT_THRESHOLD, average_precision, binary_metrics, evaluate_models, roc_auc, score_curve,
 )
 from .prepare import fold_assign
 from .resample import rebalance
@@ -209,45 +208,3 @@ def cv_summary(scored: DataFrame) -> DataFrame:
         F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in ("pr_auc", "roc_auc", "f1")])))
     return long.groupBy("metric").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
 
-
-# ---- calibration ------------------------------------------------------------------------
-
-def platt_fit(scored: DataFrame, label: str = "label", score: str = "score"):
-    """Logistic model of the label on the raw score, fitted on a calibration split."""
-    one = VectorAssembler(inputCols=[score], outputCol="features")
-    est = LogisticRegression(featuresCol="features", labelCol=label, regParam=0.0, maxIter=1000)
-    model = est.fit(one.transform(scored.select(score, label)))
-    return float(model.coefficients[0]), float(model.intercept)
-
-
-def platt_apply(scored: DataFrame, slope: float, intercept: float, score: str = "score") -> DataFrame:
-    return scored.withColumn("calibrated", logistic(F.lit(slope) * F.col(score) + F.lit(intercept)))
-
-
-def calibration_choice(scored: DataFrame, label: str = "label", score: str = "score",
-                       calibrated: str = "calibrated") -> DataFrame:
-    """One row ``(original_brier, calibrated_brier, use_calibrated)``: calibrated only if strictly better."""
-    before = brier_score(scored, label, score).withColumnRenamed("brier_score", "original_brier")
-    after = brier_score(scored, label, calibrated).withColumnRenamed("brier_score", "calibrated_brier")
-    return before.withColumn("calibrated_brier", after.scalar()).withColumn(
-        "use_calibrated", F.col("calibrated_brier") < F.col("original_brier"))
-
-
-def calibrate(scored: DataFrame, key: str = "key", label: str = "label", score: str = "score", share: float = 0.5,
-              seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """``(scored with "final", choice)``: fit on one part of the rows, judge on the other.
-
-    If the fit fails (one class only, say) the original score stays.
-    """
-    part = uniform(hash_hex(key, seed, "calibration")) < F.lit(float(share))
-    try:
-        slope, intercept = platt_fit(scored.where(part), label, score)
-    except Exception:
-        slope, intercept = None, None
-    if slope is None:
-        same = scored.withColumn("calibrated", F.col(score))
-    else:
-        same = platt_apply(scored, slope, intercept, score)
-    choice = calibration_choice(same.where(~part), label, score)
-    use = choice.select("use_calibrated").scalar()
-    return same.withColumn("final", F.when(use, F.col("calibrated")).otherwise(F.col(score))), choice
