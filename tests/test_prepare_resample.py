@@ -159,3 +159,32 @@ def test_preparation_end_to_end(spark, tmp_path):
     assert sizes == {"train": (128, 64), "test": (20, 4)}
     assert {r["Class"] for r in data.select("Class").distinct().collect()} == {0, 1}
     assert not {"Amount", "Time"} & set(data.columns) and stats.count() == 2
+
+
+@pytest.mark.parametrize("small", [10_000, 5, 1])
+def test_selection_with_repeated_keys_and_rows(spark, small):
+    """Keys that occur three times, rows that occur many times: sizes are exact at every level of refinement."""
+    from txlab.operators.selection import with_cuts
+    rows = [(k // 3, k % 7, "a") for k in range(300)] + [(1, 1, "b")] * 200 + [(k, 0, "b") for k in range(50)] + [(None, None, "c")] * 7
+    df = spark.createDataFrame(rows, "id int, v int, label string").repartition(5)
+    wanted = {"x": F.floor(F.col("n") * 0.37), "y": F.floor(F.col("n") * 0.9), "none": F.lit(0), "all": F.col("n") + 5}
+    out = with_cuts(df, "id", "label", wanted, small=small)
+    got = {r["label"]: r for r in out.groupBy("label").agg(F.count("*").alias("n"), *[F.count_if(c).alias(c) for c in wanted], F.count_if(F.expr("x AND NOT y")).alias("odd")).collect()}
+    for label, n in (("a", 300), ("b", 250), ("c", 7)):
+        r = got[label]
+        assert (r["n"], r["x"], r["y"], r["none"], r["all"], r["odd"]) == (n, n * 37 // 100, n * 9 // 10, 0, n, 0)
+    assert out.select("id", "v", "label").exceptAll(df).count() == 0
+
+
+def test_copies_of_one_row_are_dealt_out(spark):
+    from txlab.operators import resample
+    made = spark.createDataFrame([(1, 100_000, "x"), (2, 3, "y"), (3, 0, "z")], "id int, _made int, v string").coalesce(1)
+    for first in (0, 1):
+        out = resample._each_copy(made, "id", first, copies=1000)
+        got = {r["id"]: (r["n"], r["d"], r["low"], r["high"]) for r in out.groupBy("id").agg(
+            F.count("*").alias("n"), F.count_distinct("copy").alias("d"), F.min("copy").alias("low"), F.max("copy").alias("high")).collect()}
+        want = {1: (100_001 - first, 100_001 - first, first, 100_000), 2: (4 - first, 4 - first, first, 3)}
+        assert got == want | ({3: (1, 1, 0, 0)} if first == 0 else {})
+    # the rows made from one row come out of more than one task
+    dealt = resample._each_copy(made, "id", 0, copies=1000).where("id = 1").withColumn("p", F.spark_partition_id())
+    assert dealt.select("p").distinct().count() > 1

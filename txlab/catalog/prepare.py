@@ -205,3 +205,50 @@ def prepare_end_to_end(spark, folder):
     data, _, _ = prepare_data(transactions(spark, folder), "event_id", ["User", "Ticks"], strategy="under",
                               path=scratch_path(spark, "prepared"))
     return _round(data, ["Amount_scaled", "Time_scaled"])
+
+
+# lineitem has no unique key: order keys repeat, and only whole rows are distinct.
+FLAGS = "n AS (SELECT l_returnflag, count(*)::BIGINT AS n FROM lineitem GROUP BY l_returnflag)"
+
+
+@query("split_repeated_keys", f"""
+  WITH {FLAGS}, t AS (SELECT *, round(n * 0.2e0)::BIGINT AS test, round(n * 0.36e0)::BIGINT AS upto FROM n)
+  SELECT l_returnflag, 'test' AS split, test AS n, test AS different FROM t UNION ALL SELECT l_returnflag, 'val', upto - test, upto - test FROM t
+  UNION ALL SELECT l_returnflag, 'train', n - upto, n - upto FROM t""")
+def split_repeated_keys(spark, folder):
+    """Three-way split where keys repeat: sizes are exact and every row is in one part."""
+    split = p.three_way_split(table(spark, folder, "lineitem"), "l_orderkey", "l_returnflag")
+    whole = F.xxhash64(*[c for c in split.columns if c != "split"])
+    return split.groupBy("l_returnflag", "split").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(whole).alias("different"))
+
+
+@query("undersample_repeated_keys", f"""
+  WITH {FLAGS} SELECT l_returnflag, (SELECT min(n) FROM n) AS n, (SELECT min(n) FROM n) AS different FROM n""")
+def undersample_repeated_keys(spark, folder):
+    """Every class cut to the smallest where keys repeat."""
+    few = r.undersample(table(spark, folder, "lineitem"), "l_orderkey", "l_returnflag")
+    whole = F.xxhash64(*[c for c in few.columns if c != "copy"])
+    return few.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(whole).alias("different"))
+
+
+@query("folds_equal_rows", f"""
+  WITH c AS (SELECT l_returnflag, count(*)::BIGINT AS n FROM lineitem GROUP BY l_returnflag)
+  SELECT l_returnflag, j::INTEGER AS fold, n // 5 + (j < n % 5)::BIGINT AS n FROM c, (SELECT unnest(range(5)) AS j)""")
+def folds_equal_rows(spark, folder):
+    """Five folds of rows of which most equal many others: a cut among equal rows takes as many as it needs."""
+    few = table(spark, folder, "lineitem").select("l_returnflag", (F.col("l_linenumber") % 3).alias("line"))
+    return p.fold_assign(few, "line", "l_returnflag").groupBy("l_returnflag", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("oversample_repeated_keys", f"""
+  WITH {FLAGS}, e AS (SELECT (event_type = 'error')::INTEGER AS "Class", count(*)::BIGINT AS n FROM events GROUP BY 1)
+  SELECT 'lineitem' AS source, l_returnflag AS label, (SELECT max(n) FROM n) AS n, n AS originals FROM n
+  UNION ALL SELECT 'events', "Class"::VARCHAR, (SELECT max(n) FROM e), n FROM e""")
+def oversample_repeated_keys(spark, folder):
+    """Every class grown to the largest, with repeated and with unique keys."""
+    def sizes(name, df, key, label):
+        grown = r.oversample(df, key, label)
+        return grown.groupBy(F.lit(name).alias("source"), F.col(label).cast("string").alias("label")).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("copy") == 0).alias("originals"))
+    return sizes("lineitem", table(spark, folder, "lineitem"), "l_orderkey", "l_returnflag").union(
+        sizes("events", transactions(spark, folder), "event_id", "Class"))
