@@ -125,3 +125,25 @@ def test_lookup_join_is_the_same_broadcast_or_shuffled(spark, limit):
     small = spark.createDataFrame([("a", 10), (None, 30)], "k string, v int")
     rows = session.attach_small(df, small, ["k"], limit=limit).orderBy("id").collect()
     assert [(r["id"], r["k"], r["v"]) for r in rows] == [(1, "a", 10), (2, "b", None), (3, None, 30)]
+
+
+def test_malformed_cells_are_named(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from txlab.operators import validate
+    from txlab.sources import tables
+    schema = StructType.fromDDL("id int, amount double, note string, day date")
+    (tmp_path / "a.csv").write_text("id,amount,note,day\n1,2.5,x,2024-01-02\n2,abc,x,\n3, 7 ,,2024-13-01\n4.5,NaN,x,2024-01-02\n5,1\n6,1,x,2024-01-02,9\n,,,\n")
+    rows = tables.read_checked_csv(spark, str(tmp_path / "a.csv"), schema)
+    assert rows.schema[:4] == schema[:4]
+    got = [(r["id"], r["amount"], r["malformed"]) for r in rows.collect()]
+    assert [x[2] for x in got] == [[], ["amount"], ["day"], ["id"], ["*"], ["*"], []]
+    assert [x[0] for x in got] == [1, 2, 3, None, 5, 6, None] and got[0][1] == 2.5 and got[2][1] == 7.0
+    assert rows.select("id", "malformed").where("size(malformed) > 0").count() == 5  # also if other columns are pruned
+    good, bad = validate.quarantine(rows, validate.well_formed() | validate.non_negative("amount"))
+    assert good.count() == 1 and bad.count() == 6
+    assert {r["column"]: r["malformed"] for r in validate.malformed_counts(rows, schema.names).collect()} == {"id": 1, "amount": 1, "note": 0, "day": 1, "*": 2}
+    with pytest.raises(ValueError, match="amount"):
+        tables.read_checked_csv(spark, str(tmp_path / "a.csv"), schema, strict=True)
+    (tmp_path / "b.csv").write_text("id,amount,note,day\n1,2.5,x,2024-01-02\n")
+    assert tables.read_checked_csv(spark, str(tmp_path / "b.csv"), schema, strict=True).count() == 1

@@ -121,3 +121,85 @@ def synthetic_transactions(spark, folder):
     """One synthetic transaction per event key."""
     rows = synthetic.synthetic_transactions(table(spark, folder, "events"), "event_id")
     return rows.withColumns({v: rounded(F.col(v)) for v in FEATURES})
+
+
+# customer as text in which some balances and nations are no numbers, some are empty, and some rows are too short
+BROKEN = """broken AS (
+  SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 OR c_custkey % 13 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal,
+         CASE WHEN c_custkey % 11 = 0 OR c_custkey % 17 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey,
+         c_custkey % 7 = 0 AS w1, c_custkey % 11 = 0 AND c_custkey % 17 <> 0 AS w2, c_custkey % 17 = 0 AS w3 FROM customer)"""
+
+
+def _broken_csv(spark, folder) -> str:
+    key, balance, nation = F.col("c_custkey"), F.col("c_acctbal").cast("string"), F.col("c_nationkey").cast("string")
+    cells = [key.cast("string"), F.when(key % 7 == 0, "n/a").when(key % 13 == 0, "").otherwise(balance),
+             F.when(key % 11 == 0, F.concat(nation, F.lit("x"))).otherwise(nation)]
+    line = F.when(key % 17 == 0, F.concat_ws(",", *cells[:2])).otherwise(F.concat_ws(",", *cells))
+    path = scratch_path(spark, "broken") + ".csv"
+    whole = table(spark, folder, "customer").coalesce(1).select(line.alias("value"))
+    header = spark.createDataFrame([("c_custkey,c_acctbal,c_nationkey",)], "value string")
+    header.coalesce(1).union(whole).coalesce(1).write.text(path)
+    return path
+
+
+BROKEN_SCHEMA = "c_custkey long, c_acctbal double, c_nationkey int"
+
+
+def _schema():
+    from pyspark.sql.types import StructType
+    return StructType.fromDDL(BROKEN_SCHEMA)
+
+
+@query("malformed_cells", f"""
+  WITH {BROKEN} SELECT c_custkey, c_acctbal, c_nationkey,
+    concat_ws(',', CASE WHEN w1 THEN 'c_acctbal' END, CASE WHEN w2 THEN 'c_nationkey' END, CASE WHEN w3 THEN '*' END) AS malformed FROM broken""")
+def malformed_cells(spark, folder):
+    """A broken CSV: every row is read, and the cells that could not be are named."""
+    rows = t.read_checked_csv(spark, _broken_csv(spark, folder), _schema())
+    return rows.withColumn("malformed", F.array_join("malformed", ","))
+
+
+@query("malformed_report", f"""
+  WITH {BROKEN}
+  SELECT 'rows' AS metric, '' AS name, count(*)::DOUBLE AS value FROM broken UNION ALL SELECT 'columns', '', 3
+  UNION ALL SELECT 'class_count', '0', count(*) FILTER (WHERE c_nationkey = 0) FROM broken UNION ALL SELECT 'class_count', '1', count(*) FILTER (WHERE c_nationkey = 1) FROM broken
+  UNION ALL SELECT 'positive_rate', '', round(count(*) FILTER (WHERE c_nationkey = 1) / count(*)::DOUBLE, 6) FROM broken
+  UNION ALL SELECT 'missing_columns', '', 0 UNION ALL SELECT 'non_numeric_columns', '', 0
+  UNION ALL SELECT 'missing_values', '', count(*) - count(c_acctbal) FROM broken UNION ALL SELECT 'missing_values', 'c_acctbal', count(*) - count(c_acctbal) FROM broken
+  UNION ALL SELECT 'malformed_rows', '', count(*) FILTER (WHERE w1 OR w2 OR w3) FROM broken
+  UNION ALL SELECT 'malformed_cells', 'c_custkey', 0 UNION ALL SELECT 'malformed_cells', 'c_acctbal', count(*) FILTER (WHERE w1) FROM broken
+  UNION ALL SELECT 'malformed_cells', 'c_nationkey', count(*) FILTER (WHERE w2) FROM broken UNION ALL SELECT 'malformed_cells', '*', count(*) FILTER (WHERE w3) FROM broken""")
+def malformed_report(spark, folder):
+    """The validation report of a broken CSV counts what could not be read."""
+    from ..operators.validate import validation_report
+    rows = t.read_checked_csv(spark, _broken_csv(spark, folder), _schema())
+    return validation_report(rows, ["c_acctbal"], "c_nationkey").withColumn("value", rounded(F.col("value")))
+
+
+@query("stream_malformed", f"""
+  WITH {BROKEN} SELECT c_custkey, NOT (w1 OR w2 OR w3) AND coalesce(c_acctbal >= 0, false) AS accepted,
+    concat_ws(',', CASE WHEN w1 OR w2 OR w3 THEN 'well_formed' END, CASE WHEN NOT coalesce(c_acctbal >= 0, false) THEN 'c_acctbal_non_negative' END) AS failed,
+    CASE WHEN NOT (w1 OR w2 OR w3) AND c_acctbal >= 0 THEN round(1 / (1 + exp(-(c_acctbal / 5000e0 - 1))), 6) END AS fraud_probability FROM broken""")
+def stream_malformed(spark, folder):
+    """The same file as a stream: malformed rows are rejected with the rule they break, the others scored."""
+    from ..operators.scoring import PROBABILITY
+    from ..operators.validate import non_negative, well_formed
+    from ..streaming import jobs
+    rows = t.read_checked_csv(spark, _broken_csv(spark, folder), _schema(), stream=True)
+    score = rounded(1.0 / (1.0 + F.exp(-(F.col("c_acctbal") / 5000.0 - 1.0))))
+    out = jobs.stream_score(rows, well_formed() | non_negative("c_acctbal"), score, 0.5)
+    path = scratch_path(spark, "scored")
+    jobs.run_available(jobs.to_files(out, path, scratch_path(spark, "checkpoint")))
+    return spark.read.parquet(path).select("c_custkey", "accepted", F.array_join("failed", ",").alias("failed"), PROBABILITY)
+
+
+@query("csv_reports", f"""
+  WITH {SCORED}, c AS (SELECT (score >= 0.5)::INTEGER AS p, label FROM scored)
+  SELECT a::INTEGER AS actual, b::INTEGER AS predicted, (SELECT count(*) FROM c WHERE label = a AND p = b)::BIGINT AS n
+  FROM (SELECT unnest([0, 1]) AS a), (SELECT unnest([0, 1]) AS b)""")
+def csv_reports(spark, folder):
+    """A small report written as one CSV file and read back."""
+    from pyspark.sql.types import StructType
+    decided = scored(spark, folder).withColumn("p", (F.col("score") >= 0.5).cast("int"))
+    path = t.write_csv(m.confusion_matrix(decided, "label", "p"), scratch_path(spark, "report"), single=True)
+    return t.read_checked_csv(spark, path, StructType.fromDDL("actual int, predicted int, n long"), strict=True).drop("malformed")

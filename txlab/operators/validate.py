@@ -10,6 +10,7 @@ from ..functions import is_missing, numeric_columns
 FEATURES = [f"V{i}" for i in range(1, 29)]
 REQUIRED = ["Time", "Amount", *FEATURES]
 LABEL = "Class"
+MALFORMED = "malformed"  # names of a row's columns whose cell could not be read; "*" for a row of the wrong length
 
 
 def schema_check(df: DataFrame, required: list[str], label: str | None = None) -> DataFrame:
@@ -61,6 +62,18 @@ def non_negative(*columns: str) -> dict[str, Column]:
     return {f"{c}_non_negative": F.coalesce(F.col(c) >= 0, F.lit(False)) for c in columns}
 
 
+def well_formed() -> dict[str, Column]:
+    """The rule that no cell of the row was malformed when it was read."""
+    return {"well_formed": F.size(MALFORMED) == 0}
+
+
+def malformed_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows ``(column, malformed)`` for tables read with checks, and for rows of the wrong length (``*``)."""
+    names = [*columns, "*"]
+    row = df.agg(*[F.count_if(F.array_contains(MALFORMED, c)).alias(f"n{i}") for i, c in enumerate(names)])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("malformed")) for i, c in enumerate(names)])))
+
+
 def failed_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """``df`` with ``failed``: the names of the rules the row breaks."""
     names = F.array(*[F.when(~ok, F.lit(name)) for name, ok in rules.items()])
@@ -89,14 +102,20 @@ def reject_all_on_violation(df: DataFrame, rules: dict[str, Column]) -> DataFram
 
 
 def validation_report(df: DataFrame, required: list[str], label: str) -> DataFrame:
-    """Rows ``(metric, name, value)`` for the whole data set, from one scan."""
+    """Rows ``(metric, name, value)`` for the whole data set, from one scan.
+
+    A table read with checks also gets its malformed cells, per column and as rows that have any; its ``malformed`` is not one of its columns.
+    """
     present_columns = [c for c in required if c in df.columns]
+    checked = [c for c in df.columns if c != MALFORMED] if MALFORMED in df.columns else []
     numeric = set(numeric_columns(df))
     row = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(label) == 0).alias("class_0"),
         F.count_if(F.col(label) == 1).alias("class_1"),
-        *[F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(present_columns)])
+        *[F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(present_columns)],
+        *[F.count_if(F.array_contains(MALFORMED, c)).alias(f"w{i}") for i, c in enumerate([*checked, "*"] if checked else [])],
+        *([F.count_if(F.size(MALFORMED) > 0).alias("wrong")] if checked else []))
     n = F.col("rows").cast("double")
     total_missing = sum((F.col(f"m{i}") for i in range(len(present_columns))), F.lit(0).cast("long"))
 
@@ -105,7 +124,7 @@ def validation_report(df: DataFrame, required: list[str], label: str) -> DataFra
 
     lines = [
         line("rows", "", n),
-        line("columns", "", F.lit(len(df.columns))),
+        line("columns", "", F.lit(len(checked or df.columns))),
         line("class_count", "0", F.col("class_0")),
         line("class_count", "1", F.col("class_1")),
         line("positive_rate", "", F.coalesce(F.try_divide(F.col("class_1").cast("double"), n), F.lit(0.0))),
@@ -113,5 +132,7 @@ def validation_report(df: DataFrame, required: list[str], label: str) -> DataFra
         line("non_numeric_columns", "", F.lit(sum(c not in numeric for c in present_columns))),
         line("missing_values", "", total_missing),
         *[line("missing_values", c, F.col(f"m{i}")) for i, c in enumerate(present_columns)],
+        *([line("malformed_rows", "", F.col("wrong"))] if checked else []),
+        *[line("malformed_cells", c, F.col(f"w{i}")) for i, c in enumerate([*checked, "*"] if checked else [])],
     ]
     return row.select(F.inline(F.array(*lines)))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.validate import FEATURES, LABEL, REQUIRED
+from ..operators.validate import FEATURES, LABEL, MALFORMED, REQUIRED, malformed_counts
 
 
 def transaction_schema(with_label: bool = True) -> T.StructType:
@@ -23,6 +23,31 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
 
 
+def read_checked_csv(spark: SparkSession, path: str, schema: T.StructType, strict: bool = False, stream: bool = False) -> DataFrame:
+    """CSV with a header in the given types, and ``malformed``: the columns whose cell has text that is not of its type.
+
+    A plain reader turns such a cell into NULL, as if nothing had been there. Here cells are read as text and
+    cast one by one, so an empty cell is missing and a wrong one is named; a row with too few or too many cells
+    has ``*`` among its names. Every column is looked at, whichever are selected later. ``strict`` raises if any
+    cell is wrong (which reads the file once); ``stream`` reads new files as they come.
+    """
+    broken = "_broken"
+    text = T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema], T.StructField(broken, T.StringType())])
+    reader = (spark.readStream if stream else spark.read).option("header", True).option("columnNameOfCorruptRecord", broken)
+    raw = reader.schema(text).csv(path)
+    typed = {f.name: F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType) else F.trim(F.col(f"`{f.name}`")).try_cast(f.dataType) for f in schema}
+    wrong = [F.when(F.length(F.trim(F.col(f"`{c}`"))).cast("boolean") & v.isNull(), F.lit(c)) for c, v in typed.items()]
+    names = F.array_compact(F.array(*wrong, F.when(F.col(broken).isNotNull(), F.lit("*"))))
+    checked = raw.select(*[v.alias(c) for c, v in typed.items()], names.alias(MALFORMED))
+    if strict:
+        if stream:
+            raise ValueError("a stream cannot be read ahead: use the rule well_formed")
+        found = {r["column"]: r["malformed"] for r in malformed_counts(checked, [f.name for f in schema]).where("malformed > 0").collect()}
+        if found:
+            raise ValueError(f"malformed cells: {found}")
+    return checked
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
