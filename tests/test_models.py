@@ -41,6 +41,33 @@ def test_logistic_penalty_is_the_summed_one(data, c):
     assert np.allclose([*fitted.coefficients, fitted.intercept], want, atol=1e-3)
 
 
+@pytest.mark.parametrize("c", [0.05, 1.0, 100.0])
+def test_newton_fit(spark, data, tmp_path, c):
+    df, x, y = data
+    model = models.fit_model(df, "logistic_regression", FEATURES, "Class", {"C": c, "solver": "newton"})
+    assert np.allclose([*model.stages[-1].coefficients, model.stages[-1].getOrDefault("intercept")], newton(x, y, c), atol=1e-8)
+    loaded = models.load_model(models.save_model(model, str(tmp_path / "m")))
+    assert scoring.model_score(df, loaded).exceptAll(scoring.model_score(df, model)).count() == 0
+    assert models.importances(model, FEATURES).count() == 4
+
+
+def test_newton_fit_with_weights_counts_rows_several_times(spark, data):
+    df, _, _ = data
+    heavy = df.withColumn("w", F.when(F.col("Class") == 1, 3.0).otherwise(1.0))
+    twice = df.unionAll(df.where("Class = 1")).unionAll(df.where("Class = 1"))
+    a, b = (models.fit_newton(d, FEATURES, "Class", 1.0, w) for d, w in ((heavy, "w"), (twice, None)))
+    assert np.allclose([*a[0], a[1]], [*b[0], b[1]], atol=1e-8)
+
+
+def test_newton_fit_refuses(spark, data):
+    df, _, _ = data
+    for bad in (df.where("Class = 0"), df.limit(0), df.withColumn("f0", F.when(F.col("id") == 3, None).otherwise(F.col("f0"))), df.withColumn("Class", F.col("Class") * 2)):
+        with pytest.raises(ValueError):
+            models.fit_newton(bad, FEATURES, "Class")
+    with pytest.raises(ValueError):
+        models.fit_model(df, "logistic_regression", FEATURES, "Class", {"penalty": "l1", "solver": "newton"})
+
+
 @pytest.mark.parametrize("name,params", [("logistic_regression", {}), ("random_forest", {"n_estimators": 10}),
                                          ("gradient_boosting", {"n_estimators": 3, "max_depth": 2})])
 def test_probabilities(data, name, params):

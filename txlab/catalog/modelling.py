@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from ..functions import rounded
 from ..operators import calibration, models as mo, search
+from ..operators.logistic import fit_newton
+from ..operators.metrics import evaluate_models
 from ..operators.prepare import stratified_split
 from ..operators.scoring import DECISION, PROBABILITY
 from ..plans import evaluation
 from ..session import freeze, scratch_path
 from .registry import query
 from .metrics import RESULTS
-from .roles import FEATURES, SCORED, SCORED_MODELS, scored, scored_models, sql_hash, sql_uniform, transactions, vectors
+from .roles import FEATURES, SCORED, SCORED_MODELS, VECTORS, scored, scored_models, sql_hash, sql_uniform, transactions, vectors
 
 KEY, LABEL = "vec_id", "Class"
 
@@ -33,12 +35,69 @@ def _fit(spark, folder, name, params=None):
     return _round(results)
 
 
-@query("fit_logistic")
+# Newton steps in SQL: cells of the normal equations are sums, and pivots eliminate one unknown after the other.
+P = len(FEATURES) + 1
+
+
+def newton_sql(weight: str) -> str:
+    return f"""{VECTORS}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY "Class" ORDER BY {sql_hash('vec_id', '42')}, vec_id) AS rn, count(*) OVER (PARTITION BY "Class") AS n FROM vectors),
+parts AS (SELECT vec_id, "Class"::DOUBLE AS y, [1e0, {", ".join(f'"{v}"' for v in FEATURES)}] AS x, rn <= round(n * 0.2e0) AS test FROM ranked),
+sizes AS (SELECT y, count(*)::DOUBLE AS n FROM parts WHERE NOT test GROUP BY y),
+train AS (SELECT p.*, {weight} AS t FROM parts p JOIN sizes USING (y) WHERE NOT test),
+cells AS (SELECT a.i AS i, b.j AS j FROM (SELECT unnest(range(1, {P + 1})) AS i) a, (SELECT unnest(range(1, {P + 2})) AS j) b),
+newton AS (
+  SELECT 0 AS step, list_transform(range({P}), lambda k: 0e0) AS w
+  UNION ALL
+  SELECT step + 1, list_transform(w, lambda v, i: v - solved[i][{P + 1}])
+  FROM (SELECT step, w, list_reduce(list_prepend(m, list_transform(range(1, {P + 1}), lambda k: [[k::DOUBLE]])), lambda acc, e:
+               list_transform(acc, lambda line, i: CASE WHEN i = e[1][1] THEN list_transform(line, lambda v: v / line[e[1][1]::INT])
+                 ELSE list_transform(line, lambda v, j: v - line[e[1][1]::INT] * acc[e[1][1]::INT][j] / acc[e[1][1]::INT][e[1][1]::INT]) END)) AS solved
+        FROM (SELECT step, any_value(w) AS w, list(line ORDER BY i) AS m
+              FROM (SELECT step, i, any_value(w) AS w, list(v ORDER BY j) AS line
+                    FROM (SELECT step, i, j, any_value(w) AS w,
+                                 sum(CASE WHEN j <= {P} THEN t * q * (1 - q) * x[i] * x[j] ELSE t * (q - y) * x[i] END)
+                                 + CASE WHEN i > 1 AND j = i THEN 1e0 WHEN i > 1 AND j = {P + 1} THEN any_value(w[i]) ELSE 0e0 END AS v
+                          FROM (SELECT f.step, f.w, r.x, r.y, r.t, 1 / (1 + exp(-list_dot_product(f.w, r.x))) AS q FROM newton f, train r WHERE f.step < 10), cells
+                          GROUP BY step, i, j) GROUP BY step, i) GROUP BY step))),
+scored_models AS (
+  SELECT 'logistic_regression' AS model, vec_id AS key, y::INTEGER AS label, round(1 / (1 + exp(-list_dot_product(w, x))), 6) AS score
+  FROM parts, newton WHERE test AND step = 10)""" + RESULTS[len(SCORED_MODELS):]
+
+
+EXACT = {"solver": "newton"}
+
+
+def _fit_exact(spark, folder, weighted):
+    from ..operators.resample import with_class_weights
+    train, test = _parts(spark, folder)
+    train = freeze(with_class_weights(train, LABEL), "weighted") if weighted else train
+    model = mo.fit_model(train, "logistic_regression", FEATURES, LABEL, EXACT, "weight" if weighted else None)
+    scored = mo.scored_rows(test, model, "logistic_regression", KEY, LABEL).withColumn("score", rounded(F.col("score")))
+    return _round(evaluate_models(freeze(scored, "scored"), "label", "score"))
+
+
+@query("fit_logistic", "WITH RECURSIVE " + newton_sql("1e0") + " SELECT * FROM results")
 def fit_logistic(spark, folder):
-    """Logistic regression: fitted on train rows, measured on test rows."""
+    """Logistic regression to full precision: fitted on train rows, measured on test rows."""
+    return _fit_exact(spark, folder, False)
+
+
+@query("fit_logistic_ml")
+def fit_logistic_ml(spark, folder):
+    """The same model by Spark ML's own optimiser."""
     return _fit(spark, folder, "logistic_regression")
 
 
+@query("logistic_weights", "WITH RECURSIVE " + newton_sql("1e0") + """
+  SELECT CASE WHEN i = 1 THEN 'intercept' ELSE 'V' || (i - 1) END AS feature, round(v, 6) AS weight
+  FROM (SELECT unnest(w) AS v, generate_subscripts(w, 1) AS i FROM newton WHERE step = 10)""")
+def logistic_weights(spark, folder):
+    """The weights themselves."""
+    weights, intercept = fit_newton(_parts(spark, folder)[0], FEATURES, LABEL)
+    return _round(spark.createDataFrame([("intercept", intercept), *zip(FEATURES, weights)], "feature string, weight double"))
+
+
 @query("fit_forest")
 def fit_forest(spark, folder):
     """Random forest."""
@@ -59,13 +118,10 @@ def train_all(spark, folder):
     return _round(results)
 
 
-@query("train_class_weight")
+@query("train_class_weight", "WITH RECURSIVE " + newton_sql("(SELECT sum(n) FROM sizes) / (2 * n)") + " SELECT * FROM results")
 def train_class_weight(spark, folder):
     """Logistic regression with balanced class weights."""
-    from ..operators.resample import with_class_weights
-    train, test = _parts(spark, folder)
-    _, results = mo.train_all(with_class_weights(train, LABEL), test, ["logistic_regression"], FEATURES, KEY, LABEL, weight="weight")
-    return _round(results)
+    return _fit_exact(spark, folder, True)
 
 
 @query("cross_validate")

@@ -15,9 +15,11 @@ from ..session import freeze
 from .metrics import (
     DEFAULT_THRESHOLD, average_precision, binary_metrics, evaluate_models, roc_auc, score_curve,
 )
+from .logistic import fit_newton
 from .prepare import fold_assign
 from .resample import rebalance
 from .scoring import PROBABILITY, model_score
+from .stages import LinearProbability
 
 # Default settings of the three models.
 DEFAULTS = {
@@ -73,10 +75,18 @@ REGISTRY = {
 
 def fit_model(df: DataFrame, name: str, features: list[str], label: str, params: dict | None = None,
               weight: str | None = None) -> PipelineModel:
-    """Fit a model by name over already scaled columns; an unknown name is an error."""
+    """Fit a model by name over already scaled columns; an unknown name is an error.
+
+    Logistic regression with ``solver`` "newton" is fitted to full precision (L2 penalty only); the default is Spark ML's own.
+    """
     if name not in REGISTRY:
         raise ValueError(f"unknown model {name!r}: use one of {sorted(REGISTRY)}")
     settings = {**DEFAULTS[name], **(params or {})}
+    if name == "logistic_regression" and settings.get("solver") == "newton":
+        if settings.get("penalty", "l2") != "l2":
+            raise ValueError("Newton steps need the l2 penalty")
+        weights, intercept = fit_newton(df, features, label, float(settings["C"]), weight)
+        return PipelineModel([LinearProbability(columns=features, weights=weights, intercept=intercept)])
     rows = df.count() if name == "logistic_regression" else 0
     estimator = REGISTRY[name](settings, label, rows, weight)
     assembler = VectorAssembler(inputCols=features, outputCol="features")

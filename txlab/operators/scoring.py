@@ -22,7 +22,8 @@ def linear_score(weights: dict[str, float], intercept: float = 0.0) -> Column:
 def model_score(df: DataFrame, model) -> DataFrame:
     """``df`` with the positive-class probability of a fitted Spark ML model."""
     scored = model.transform(df)
-    return scored.select(*df.columns, vector_to_array("probability")[1].alias(PROBABILITY))
+    value = vector_to_array("probability")[1] if "probability" in scored.columns else F.col(PROBABILITY)
+    return scored.select(*df.columns, value.alias(PROBABILITY))
 
 
 def decide(df: DataFrame, threshold: float | Column) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
 from .calibration import Sigmoids
-from .scoring import PROBABILITY, decide
+from .scoring import PROBABILITY, decide, linear_score
 
 #: Columns that Spark ML models leave behind.
 LEFT_OVER = ("features", "rawPrediction", "probability", "prediction")
@@ -44,6 +44,31 @@ class ColumnScaler(_Stage):
         return dataset.withColumns({c: (F.col(c).cast("double") - F.lit(m)) / F.lit(s or 1.0) for c, m, s in given})
 
 
+class LinearProbability(_Stage):
+    """The probability of a logistic model given as weights, as a plain expression."""
+
+    columns = Param(Params._dummy(), "columns", "features", TypeConverters.toListString)
+    weights = Param(Params._dummy(), "weights", "their weights", TypeConverters.toListFloat)
+    intercept = Param(Params._dummy(), "intercept", "the intercept", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, columns=None, weights=None, intercept=None):
+        super().__init__()
+        self._with(self._input_kwargs)
+
+    def getInputCols(self) -> list[str]:
+        return self.getOrDefault("columns")
+
+    @property
+    def coefficients(self):
+        from pyspark.ml.linalg import Vectors
+        return Vectors.dense(self.getOrDefault("weights"))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        weights = dict(zip(self.getOrDefault("columns"), self.getOrDefault("weights")))
+        return dataset.withColumn(PROBABILITY, linear_score(weights, self.getOrDefault("intercept")))
+
+
 class Decision(_Stage):
     """The positive class's probability, calibrated if there are sigmoids, and the decision at a threshold.
 
