@@ -22,11 +22,12 @@ LEAF = 512
 #: Rounds end when fewer than this share of neighbours changed, or after so many.
 SETTLED = 0.02
 ROUNDS = 8
-#: Nodes whose neighbours one task joins.
+#: Nodes whose neighbours one task joins; small inputs are dealt to some tasks too.
 CELL = 4096
+CELLS = 16
 #: Best points a search keeps, points it expands in a round, and what it returns for the exact comparison.
 BEAM = 256
-STEP = 64
+STEP = 96
 FINAL = 16
 #: Points by whose nearness a search enters the graph, those with the smallest hashes.
 ENTRIES = 256
@@ -55,11 +56,49 @@ def points_of(vectors: DataFrame, embedding: str) -> DataFrame:
     return v.withColumn("_h", F.when(F.col("_ok"), F.sha2(F.array_join(F.transform("_e", lambda x: (x + F.lit(0.0)).cast("string")), ",").cast("binary"), 256)))
 
 
-def _best(rows: DataFrame, by: str, count: int) -> DataFrame:
-    """Of rows ``by, u, s, old`` each pair once, and of every node the ``count`` nearest."""
-    one = rows.groupBy(by, "u").agg(F.max("s").alias("s"), F.max("old").alias("old"))
-    place = F.row_number().over(Window.partitionBy(by).orderBy(F.desc("s"), "u"))
-    return one.withColumn("_r", place).where(F.col("_r") <= count).drop("_r")
+def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    flat = np.concatenate(parts) if parts else np.zeros(0)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(flat, kind))
+
+
+def _merged(limit: int, step: int = 0):
+    """A function over batches whose columns end with ``us, ss, olds, new_us, new_ss``: the best ``limit`` of both lists, each node once.
+
+    What was there is old afterwards; with ``step`` only the first so many that were not old yet become old.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list[np.ndarray]] = [[], [], []]
+            keep = b.num_columns - 5
+            for row in zip(*[b.column(keep + k).to_pylist() for k in range(5)]):
+                u, s, old = np.array(row[0], np.int64), np.array(row[1], np.float32), np.array(row[2], bool)
+                if step:
+                    old[np.flatnonzero(~old)[:step]] = True
+                else:
+                    old[:] = True
+                if row[3]:
+                    u, s = np.concatenate([u, np.array(row[3], np.int64)]), np.concatenate([s, np.array(row[4], np.float32)])
+                    old = np.concatenate([old, np.zeros(len(row[3]), bool)])
+                    _, once = np.unique(u, return_index=True)  # the first of equals, so an old one stays old
+                    u, s, old = u[once], s[once], old[once]
+                order = np.lexsort((u, -s))[:limit]
+                for k, x in enumerate((u, s, old)):
+                    out[k].append(x[order])
+            yield pa.RecordBatch.from_arrays([b.column(k) for k in range(keep)] + [_lists(out[0], pa.int64()), _lists(out[1], pa.float32()), _lists(out[2], pa.bool_())],
+                                             [*b.schema.names[:keep], "us", "ss", "olds"])
+    return run
+
+
+_STATE = "us array<long>, ss array<float>, olds array<boolean>"
+_NONE = ("CAST(array() AS array<bigint>) AS us", "CAST(array() AS array<float>) AS ss", "CAST(array() AS array<boolean>) AS olds")
+
+
+def _added(state: DataFrame, new: DataFrame, by: str, limit: int, step: int = 0) -> DataFrame:
+    """``state`` (one row per ``by``) with the best of what it has and of ``new`` (``by, u, s``, a bounded number per ``by``)."""
+    lists = new.groupBy(F.col(by).alias("_by")).agg(F.collect_list(F.struct("u", "s")).alias("_n")).select("_by", F.col("_n.u").alias("new_us"), F.col("_n.s").alias("new_ss"))
+    keep = [c for c in state.columns if c not in ("us", "ss", "olds")]
+    both = state.join(lists, F.col(by) == F.col("_by"), "left").select(*keep, "us", "ss", "olds", "new_us", "new_ss")
+    return both.mapInArrow(_merged(limit, step), ", ".join(f"{c} {dict(state.dtypes)[c]}" for c in keep) + ", " + _STATE)
 
 
 def _top_rows(a: np.ndarray, b: np.ndarray, s: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,19 +155,19 @@ def _first_graph(nodes: DataFrame, width: int, degree: int) -> DataFrame:
     return ordered.mapInArrow(leaves, "v long, u long, s float")
 
 
-def _join_neighbours(graph: DataFrame, nodes: DataFrame, cells: int, width: int, degree: int, reverse: int, turn: int) -> DataFrame:
+def _join_neighbours(graph: DataFrame, cells: int, width: int, degree: int, reverse: int, turn: int) -> DataFrame:
     """``v, u, s`` better than what ``v`` has: pairs among the neighbours of a node, of which at least one is new to it.
 
     Nodes are dealt to ``cells``; a cell gets its light links and, once each, the vectors of the neighbours in it.
     """
+    pairs = graph.select("v", F.inline(F.arrays_zip("us", "olds"))).toDF("v", "u", "old")
     into = Window.partitionBy("u").orderBy(F.xxhash64("v", "u", F.lit(turn)))
-    back = graph.withColumn("_r", F.row_number().over(into)).where(F.col("_r") <= reverse).select(F.col("u").alias("v"), F.col("v").alias("u"), "old")
-    around = graph.select("v", "u", "old").union(back).groupBy("v", "u").agg(F.min("old").alias("old"))
-    lively = around.groupBy("v").agg(F.min("old").alias("_any")).where("NOT _any").select("v")
-    links = freeze(around.join(lively, "v").withColumn("cell", F.pmod(F.xxhash64("v"), F.lit(cells)).cast("int")), "links")
-    least = graph.groupBy("v").agg(F.min("s").alias("least"), F.count(F.lit(1)).alias("_n"))
-    known = nodes.select("v", "x").join(least, "v").select(F.col("v").alias("u"), "x", F.when(F.col("_n") >= degree, F.col("least")).otherwise(F.lit(-2.0)).cast("float").alias("least"))
-    sent = links.select("cell", "u").distinct().join(known, "u").select(F.col("cell").alias("_cell"), F.col("u").alias("name"), "x", "least")
+    back = pairs.withColumn("_r", F.row_number().over(into)).where(F.col("_r") <= reverse).select(F.col("u").alias("v"), F.col("v").alias("u"), "old")
+    around = pairs.union(back).groupBy("v").agg(F.collect_list(F.struct("u", "old")).alias("_l")).where("exists(_l, x -> NOT x.old)")
+    links = freeze(around.select(F.pmod(F.xxhash64("v"), F.lit(cells)).cast("int").alias("cell"), "v", F.inline("_l")), "links")
+    full = F.when(F.size("us") >= degree, F.element_at("ss", -1)).otherwise(F.lit(-2.0)).cast("float")
+    known = graph.select(F.col("v").alias("name"), "x", full.alias("least"))
+    sent = links.select(F.col("cell").alias("_cell"), F.col("u").alias("name")).distinct().join(known, "name")
 
     def work(links: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         name = vectors["name"].to_numpy()
@@ -136,7 +175,7 @@ def _join_neighbours(graph: DataFrame, nodes: DataFrame, cells: int, width: int,
         name = name[order]
         x = np.frombuffer(b"".join(vectors["x"].to_numpy()[order]), np.float16).reshape(len(name), width).astype(np.float32)
         least = vectors["least"].to_numpy()[order]
-        links = links.sort_values("v", kind="stable")
+        links = links.sort_values(["v", "u", "old"]).drop_duplicates(["v", "u"])
         u, old = np.searchsorted(name, links["u"].to_numpy()), links["old"].to_numpy()
         v = links["v"].to_numpy()
         first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
@@ -165,85 +204,93 @@ def _join_neighbours(graph: DataFrame, nodes: DataFrame, cells: int, width: int,
 
 
 def build(nodes: DataFrame, width: int, count: int, degree: int = DEGREE, reverse: int = REVERSE, rounds: int = ROUNDS) -> DataFrame:
-    """``v, u, s``: up to ``degree`` near nodes of every node. ``nodes``: ``v`` (long, unique) and ``x`` (unit vector, half precision).
+    """``v, us``: up to ``degree`` near nodes of every node, nearest first. ``nodes``: ``v`` (long, unique) and ``x`` (unit vector, half precision).
 
     NN-descent: neighbours of neighbours are likely neighbours. Each round joins, around every node, its neighbours with those that
     point to it, offers each pair to both ends, and keeps the best. Later rounds only look at pairs with a new member.
     """
-    graph = freeze(_best(_first_graph(nodes, width, degree).withColumn("old", F.lit(False)), "v", degree), "graph")
-    cells = max(1, math.ceil(count / CELL))
+    graph = freeze(_added(nodes.select("v", "x", *map(F.expr, _NONE)),
+                          _first_graph(nodes, width, degree), "v", degree), "graph")
+    cells = max(CELLS, math.ceil(count / CELL))
     for turn in range(rounds):
-        better = _join_neighbours(graph, nodes, cells, width, degree, reverse, turn).withColumn("old", F.lit(False))
-        graph = freeze(_best(graph.withColumn("old", F.lit(True)).union(better.select("v", "u", "s", "old")), "v", degree), "graph")
-        total, fresh = graph.agg(F.count(F.lit(1)), F.count_if(~F.col("old"))).first()
-        if fresh <= SETTLED * total:
+        graph = freeze(_added(graph, _join_neighbours(graph, cells, width, degree, reverse, turn), "v", degree), "graph")
+        total, fresh = graph.agg(F.sum(F.size("us")), F.sum(F.size(F.filter("olds", lambda x: ~x)))).first()
+        if not total or fresh <= SETTLED * total:
             break
-    return graph.select("v", "u", "s")
+    return graph.select("v", "us")
 
 
 def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, count: int, beam: int = BEAM, step: int = STEP) -> DataFrame:
-    """``q, u, s``: the best ``beam`` nodes that a greedy search finds for each query. ``queries``: ``q`` (long, unique), ``y`` (unit vector, single precision), ``own`` (its node or NULL).
+    """``q, us``: the best ``beam`` nodes that a greedy search finds for each query, nearest first.
 
-    A search starts at the query's own node, if it has one, and at the nearest of ``ENTRIES`` fixed nodes. Each round expands the best nodes
+    ``queries``: ``q`` (long, unique), ``y`` (unit vector, single precision), ``own`` (its node or NULL). A search starts at the query's own
+    node, if it has one, and at the nearest of ``ENTRIES`` fixed nodes. Each round expands the best nodes
     of every beam that are not expanded yet; what their neighbours score is worked out where nodes of a cell and the queries that look
     at them meet, and only what improves a beam is returned. It ends when every node of every beam is expanded.
     """
     spark = graph.sparkSession
     entries = nodes.orderBy(F.xxhash64("v"), "v").limit(ENTRIES).select("v", "z").collect()  # ENTRIES rows at most
     names = np.array([e.v for e in entries], np.int64)
-    shared = spark.sparkContext.broadcast(np.array([np.frombuffer(e.z, np.float32) for e in entries]).reshape(len(entries), width))
+    shared = spark.sparkContext.broadcast(np.array([np.frombuffer(e.z, np.float32) for e in entries], np.float32).reshape(len(entries), width))
+    cells = max(CELLS, math.ceil(count / CELL))
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             y = np.frombuffer(b"".join(b.column(1).to_pylist()), np.float32).reshape(b.num_rows, width)
             s = y @ shared.value.T
-            n = min(ENTER, len(names))
-            near = np.argpartition(-s, n - 1, axis=1)[:, :n]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), n)), pa.array(names[near.ravel()]),
-                                              pa.array(np.take_along_axis(s, near, axis=1).ravel())], ["q", "u", "s"])
-
-    own = queries.where("own IS NOT NULL").select("q", F.col("own").alias("u"), F.lit(1.0).cast("float").alias("s"))
-    start = queries.select("q", "y").mapInArrow(enter, "q long, u long, s float").union(own).withColumn("old", F.lit(False))
-    beams = freeze(_best(start, "q", beam), "beam")
-    cells = max(1, math.ceil(count / CELL))
-    cell = F.pmod(F.xxhash64("u"), F.lit(cells)).cast("int")
-    placed = freeze(nodes.select(F.lit(0).cast("byte").alias("kind"), F.col("v").alias("name"), F.col("z").alias("vector"), F.lit(0.0).cast("float").alias("least"),
-                                 F.pmod(F.xxhash64("v"), F.lit(cells)).cast("int").alias("cell")), "placed")
-
-    def score(pairs: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
-        def side(kind: int):
-            part = vectors[vectors["kind"] == kind].sort_values("name")
-            return part["name"].to_numpy(), np.frombuffer(b"".join(part["vector"]), np.float32).reshape(len(part), width), part["least"].to_numpy()
-
-        u_name, u, _ = side(0)
-        q_name, y, least = side(1)
-        q, u_ = pairs["q"].to_numpy(), pairs["u"].to_numpy()
-        i, k = np.searchsorted(q_name, q), np.searchsorted(u_name, u_)
-        s = np.empty(len(pairs), np.float32)
-        for a in range(0, len(s), 65_536):
-            s[a:a + 65_536] = np.einsum("nd,nd->n", y[i[a:a + 65_536]], u[k[a:a + 65_536]])
-        good = s > least[i]
-        return pd.DataFrame({"q": q[good], "u": u_[good], "s": s[good]})
-
+            us, ss = [], []
+            for row, own in zip(s, b.column(2).to_pylist()):
+                near = np.argsort(-row)[:ENTER]
+                u, t = names[near], row[near]
+                if own is not None:
+                    u, t = np.append(u[u != own], own), np.append(t[u != own], np.float32(1))
+                order = np.lexsort((u, -t))
+                us.append(u[order])
+                ss.append(t[order])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _lists(us, pa.int64()), _lists(ss, pa.float32()),
+                                              _lists([np.zeros(len(u), bool) for u in us], pa.bool_())], ["q", "y", "us", "ss", "olds"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[], [], [], [], []]
+            for q, y, u, s, at, c in zip(*[b.column(k).to_pylist() for k in range(6)]):
+                least = s[-1] if len(u) >= beam else -2.0
+                c, at = np.array(c, np.int64), np.array(at, np.int32)
+                new = ~np.isin(c, np.array(u, np.int64))
+                c, at = c[new], at[new]
+                order = np.argsort(at, kind="stable")
+                c, at = c[order], at[order]
+                first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(at) else np.zeros(0, np.int64)
+                for a, z in zip(first, np.append(first[1:], len(at))):
+                    for k, x in enumerate((int(at[a]), q, y, least, c[a:z])):
+                        out[k].append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.float32()),
+                                              _lists(out[4], pa.int64())], ["cell", "q", "y", "least", "us"])
+
+    def score(asking: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+        vectors = vectors.sort_values("u")
+        name, z = vectors["u"].to_numpy(), np.frombuffer(b"".join(vectors["z"]), np.float32).reshape(len(vectors), width)
+        found: list[tuple] = []
+        for q, y, least, us in zip(asking["q"], asking["y"], asking["least"], asking["us"]):
+            s = z[np.searchsorted(name, us)] @ np.frombuffer(y, np.float32)
+            good = s > least
+            found.append((np.full(good.sum(), q), us[good], s[good]))
+        q, u, s = map(np.concatenate, zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))
+        return pd.DataFrame({"q": q, "u": u, "s": s})
+
+    cell = lambda c: F.pmod(F.xxhash64(c), F.lit(cells)).cast("int")
+    beams = freeze(queries.select("q", "y", "own").mapInArrow(enter, "q long, y binary, " + _STATE), "beam")
+    placed = nodes.select(cell(F.col("v")).alias("_cell"), F.col("v").alias("u"), "z")
+    waiting = F.slice(F.transform(F.filter(F.arrays_zip("us", "olds"), lambda x: ~x["olds"]), lambda x: x["us"]), 1, step)
     while True:
-        todo = (beams.where("NOT old").withColumn("_r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "u")))
-                .where(F.col("_r") <= step).select("q", "u"))
-        todo = freeze(todo, "todo")
+        todo = beams.select("q", F.explode(waiting).alias("v"))
         if not todo.limit(1).count():
-            return beams.select("q", "u", "s")
-        pairs = (todo.withColumnRenamed("u", "v").join(graph.select("v", "u"), "v").select("q", "u").distinct()
-                 .join(beams.select("q", "u"), ["q", "u"], "left_anti").withColumn("cell", cell))
-        pairs = freeze(pairs, "pairs")
-        full = beams.groupBy("q").agg(F.min("s").alias("_s"), F.count(F.lit(1)).alias("_n"))
-        least = full.select("q", F.when(F.col("_n") >= beam, F.col("_s")).otherwise(F.lit(-2.0)).cast("float").alias("least"))
-        looking = pairs.select("cell", "q").distinct().join(queries.select("q", "y"), "q").join(least, "q")
-        looking = looking.select(F.lit(1).cast("byte").alias("kind"), F.col("q").alias("name"), F.col("y").alias("vector"), "least", "cell")
-        wanted = placed.join(F.broadcast(pairs.select("cell").distinct()), "cell", "left_semi") if cells <= 10_000 else placed
-        both = wanted.select("kind", "name", "vector", "least", "cell").union(looking).withColumnRenamed("cell", "_cell")
-        found = (pairs.groupBy("cell").cogroup(both.groupBy("_cell"))
-                 .applyInPandas(score, "q long, u long, s float").withColumn("old", F.lit(False)))
-        done = beams.join(todo.withColumn("_done", F.lit(True)), ["q", "u"], "left").select("q", "u", "s", (F.col("old") | F.coalesce("_done", F.lit(False))).alias("old"))
-        beams = freeze(_best(done.union(found), "q", beam), "beam")
+            return beams.select("q", "us")
+        ahead = todo.join(graph, "v").groupBy("q").agg(F.array_distinct(F.flatten(F.collect_list("us"))).alias("_c")).select(F.col("q").alias("_q"), "_c")
+        looking = beams.join(ahead, F.col("q") == F.col("_q")).select("q", "y", "us", "ss", F.transform("_c", cell).alias("_at"), "_c")
+        asked = looking.mapInArrow(deal, "cell int, q long, y binary, least float, us array<long>")
+        found = asked.groupBy("cell").cogroup(placed.groupBy("_cell")).applyInPandas(score, "q long, u long, s float")
+        beams = freeze(_added(beams, found, "q", beam, step), "beam")
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -283,8 +330,7 @@ def nearest(vectors: DataFrame, queries: Column, key: str = "vec_id", embedding:
     asked = freeze(asked.join(nodes.select("v", "z"), "v").select(F.xxhash64("vec_id", "v").alias("q"), F.col("vec_id").alias("query_id"), F.col("z").alias("y"), F.col("v").alias("own")), "asked")
     found = search(graph, nodes, asked.select("q", "y", "own"), width, total, beam)
     # Of a point only the rows with the smallest keys can be among the nearest: one more than wanted, for the query's own may be one.
-    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "u"))
-    final = found.withColumn("_r", place).where(F.col("_r") <= max(FINAL, 2 * count + 1)).select("q", "u")
+    final = found.select("q", F.explode(F.slice("us", 1, max(FINAL, 2 * count + 1))).alias("u"))
     low = Window.partitionBy("v").orderBy("vec_id")
     rows_of = rows.groupBy("v", "vec_id").agg(F.count(F.lit(1)).alias("_times")).withColumn("_r", F.row_number().over(low)).where(F.col("_r") <= count + 1)
     shown = distinct.select("v", "_e")
