@@ -167,8 +167,11 @@ def test_every_row_is_scored_once_by_another_fold(data):
 
 
 def test_search_spaces():
-    assert search.reconcile("logistic_regression", {"penalty": "elasticnet", "solver": "liblinear"}) == {"penalty": "elasticnet", "solver": "saga", "l1_ratio": 0.5}
-    assert search.reconcile("logistic_regression", {"penalty": "l1", "solver": "saga", "depth": 3}) == {"penalty": "l1", "solver": "liblinear"}
+    every = search.distinct_settings("logistic_regression")
+    assert len(every) == 6 * (2 + 5) and len({tuple(e.items()) for e in every}) == len(every)
+    assert all(("l1_ratio" in e) == (e["penalty"] == "elasticnet") for e in every)
+    assert len(search.draw("logistic_regression", 1000)) == len(every)  # all of them, each once
+    assert len({tuple(d.items()) for d in search.draw("random_forest", 200)}) == 200
     drawn = search.draw("random_forest", 30)
     assert drawn == search.draw("random_forest", 30) != search.draw("random_forest", 30, seed=1)
     assert all(p[k] in v for p in drawn for k, v in search.SPACES["random_forest"].items())
