@@ -124,3 +124,29 @@ def test_empty_batch(spark):
     row = s.score_summary(s.score_batch(df, F.lit(0.5), 0.5)).first()
     assert (row["total"], row["flagged"], row["flagged_rate"]) == (0, 0, 0.0)
     assert s.positive_rate(s.score_batch(df, F.lit(0.5), 0.5), 0.5).first()["positive_rate"] == 0.0
+
+
+def test_exact_two_sample_law(spark):
+    """Against the share of all orders of two samples, counted; and the closed form for equal sizes."""
+    from itertools import combinations
+    from math import comb
+
+    from txlab.functions import exact_two_sample
+    cases = [(n, m, k) for n, m in ((1, 1), (3, 4), (5, 5), (2, 7)) for k in range(n * m + 1)]
+    rows = spark.createDataFrame([(n, m, k / (n * m)) for n, m, k in cases], "n long, m long, d double")
+    got = {(r["n"], r["m"], round(r["d"] * r["n"] * r["m"])): r["p"] for r in rows.withColumn("p", exact_two_sample(F.col("d"), F.col("n"), F.col("m"))).collect()}
+    for n, m, k in cases:
+        hit = 0
+        for first in combinations(range(n + m), n):
+            x = y = most = 0
+            for i in range(n + m):
+                x, y = (x + 1, y) if i in first else (x, y + 1)
+                most = max(most, abs(x * m - y * n))
+            hit += most >= k
+        assert got[n, m, k] == pytest.approx(hit / comb(n + m, n), abs=1e-12), (n, m, k)
+    n = 60
+    rows = spark.createDataFrame([(n, n, j / n) for j in (5, 12, 30)], "n long, m long, d double")
+    for r in rows.withColumn("p", exact_two_sample(F.col("d"), F.col("n"), F.col("m"))).collect():
+        j = round(r["d"] * n)
+        want = 2 * sum((-1) ** (i - 1) * comb(2 * n, n - i * j) for i in range(1, n // j + 1)) / comb(2 * n, n)
+        assert r["p"] == pytest.approx(want, rel=1e-9, abs=1e-14)

@@ -11,7 +11,7 @@ from ..plans.monitoring import ADVICE, advice, monitor_report
 from ..session import freeze
 from .profile import STATS, sql_describe
 from .registry import query
-from .roles import DRIFT, DRIFT_FEATURES, drift_sides, sql_long
+from .roles import DRIFT, DRIFT_FEATURES, drift_sides, sql_long, table
 
 
 def _round(df, columns):
@@ -163,3 +163,28 @@ def monitor_report_query(spark, folder):
     """The whole drift report."""
     before, after = drift_sides(spark, folder)
     return _round(monitor_report(before, after), ["value"])
+
+
+# Walks are counted row by row here, and divided by the number of all walks at the end. With more than 100,000 cells, or
+# more walks than a double holds, the asymptotic tail is taken by both.
+@query("ks_exact", f"""
+  WITH RECURSIVE c AS (SELECT c_nationkey, c_acctbal AS v, count(*) FILTER (WHERE c_mktsegment <> 'BUILDING') AS r, count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS w
+    FROM customer GROUP BY ALL),
+  f AS (SELECT *, sum(r) OVER u AS cr, sum(w) OVER u AS cw, sum(r) OVER g AS nr, sum(w) OVER g AS nw FROM c
+    WINDOW u AS (PARTITION BY c_nationkey ORDER BY v ROWS UNBOUNDED PRECEDING), g AS (PARTITION BY c_nationkey)),
+  k AS (SELECT c_nationkey, max(nr)::BIGINT AS n, max(nw)::BIGINT AS m, max(abs(cr / nr::DOUBLE - cw / nw::DOUBLE)) AS d FROM f WHERE nr > 0 AND nw > 0 GROUP BY c_nationkey),
+  s AS (SELECT *, round(d * n * m)::BIGINT AS reach FROM k WHERE n * m <= {d.EXACT_CELLS}),
+  walk AS (
+    SELECT c_nationkey, n, m, reach, 0 AS x, list_transform(range(0, m + 1), lambda y: CASE WHEN y * n < reach THEN 1e0 ELSE 0e0 END) AS paths FROM s
+    UNION ALL
+    SELECT c_nationkey, n, m, reach, x + 1, list_transform(range(0, m + 1), lambda y: CASE WHEN abs((x + 1) * m - y * n) < reach THEN
+      list_sum(list_transform(range(0, y + 1), lambda z: CASE WHEN abs((x + 1) * m - z * n) < reach THEN paths[z + 1] ELSE 0e0 END)) ELSE 0e0 END) FROM walk WHERE x < n),
+  exact AS (SELECT c_nationkey, 1 - paths[m + 1] / exp(lgamma(n + m + 1) - lgamma(n + 1) - lgamma(m + 1)) AS p FROM walk WHERE x = n),
+  tail AS (SELECT c_nationkey, CASE WHEN d * sqrt(n * m / (n + m)::DOUBLE) < 0.04 THEN 1e0 ELSE 2e0 * list_sum(list_transform(range(1, 101),
+    lambda j: CASE WHEN j % 2 = 1 THEN 1e0 ELSE -1e0 END * exp(-2e0 * j * j * d * d * n * m / (n + m)::DOUBLE))) END AS p FROM k)
+  SELECT c_nationkey, n AS n_ref, m AS n_new, round(d, 6) AS ks_statistic, round(greatest(0e0, least(1e0, coalesce(exact.p, tail.p))), 6) AS p_value
+  FROM k LEFT JOIN exact USING (c_nationkey) LEFT JOIN tail USING (c_nationkey)""")
+def ks_exact(spark, folder):
+    """Balances of one market segment against the others, nation by nation: small samples, exact p-values."""
+    found = d.ks_groups(table(spark, folder, "customer"), "c_nationkey", "c_acctbal", F.col("c_mktsegment") == "BUILDING")
+    return _round(found, ["ks_statistic", "p_value"])

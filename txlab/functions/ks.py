@@ -26,6 +26,32 @@ def kolmogorov_tail(statistic: Column, n: Column, m: Column | None = None) -> Co
     return F.when(lam < 0.04, F.lit(1.0)).otherwise(clamped)
 
 
+def exact_two_sample(statistic: Column, n: Column, m: Column) -> Column:
+    """Exact p-value of a two-sided two-sample KS statistic without ties: the share of orders of both samples that reach it.
+
+    An order of ``n`` and ``m`` values is a walk from (0, 0) to (n, m). The chance that a random walk stays where the two
+    distribution functions differ by less is carried from diagonal to diagonal, one number per place: (n + m) steps times the smaller sample.
+    """
+    n, m = F.least(n, m).cast("long"), F.greatest(n, m).cast("long")
+    reach = F.round(statistic * n.cast("double") * m.cast("double")).cast("long")
+    places = F.sequence(F.lit(0).cast("long"), n)
+
+    def diagonal(before: Column, t: Column) -> Column:
+        left = (n + m - t + 1).cast("double")
+
+        def place(x: Column) -> Column:
+            y = t - x
+            inside = (y >= 0) & (y <= m) & (F.abs(x * m - y * n) < reach)
+            came = F.coalesce(F.get(before, (x - 1).cast("int")), F.lit(0.0)) * (n - x + 1).cast("double") + F.get(before, x.cast("int")) * (m - y + 1).cast("double")
+            return F.when(inside, came / left).otherwise(F.lit(0.0))
+
+        return F.transform(places, place)
+
+    start = F.transform(places, lambda x: F.when(x == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+    stays = F.aggregate(F.sequence(F.lit(1).cast("long"), n + m), start, diagonal)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - F.element_at(stays, -1)))
+
+
 def normal_pdf(x: Column, mean: Column, std: Column) -> Column:
     z = F.try_divide(x - mean, std)
     return F.try_divide(F.exp(F.lit(-0.5) * z * z), std * F.lit(2.5066282746310002))

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import kolmogorov_tail, normal_cdf, normal_pdf, numeric_columns, ratio
+from ..functions import exact_two_sample, is_missing, kolmogorov_tail, normal_cdf, normal_pdf, numeric_columns, ratio
 from ..session import attach_small
 from .histogram import histogram
 from .profile import describe
 from .ranks import long_values, running_totals
 
 ALPHA = 0.05
+EXACT_CELLS = 100_000  # product of two sample sizes up to which the exact law is worked out
 # Share of drifted features, in percent, above which drift is called so.
 HIGH, MODERATE = 20.0, 10.0
 
@@ -44,8 +45,28 @@ def ks_two_sample(reference: DataFrame, new: DataFrame, features: list[str] | No
 
 
 def ks_pvalue(statistics: DataFrame) -> DataFrame:
-    """Add the asymptotic two-sample ``p_value`` (exact small-sample laws differ slightly)."""
-    return statistics.withColumn("p_value", kolmogorov_tail(F.col("ks_statistic"), F.col("n_ref"), F.col("n_new")))
+    """Add the two-sample ``p_value``: exact for samples with ``n_ref * n_new`` up to ``EXACT_CELLS``, asymptotic beyond.
+
+    The exact law takes values as distinct; ties, as always, make it conservative.
+    """
+    d, n, m = F.col("ks_statistic"), F.col("n_ref"), F.col("n_new")
+    small = n.cast("double") * m.cast("double") <= EXACT_CELLS
+    return statistics.withColumn("p_value", F.when(small, exact_two_sample(d, n, m)).otherwise(kolmogorov_tail(d, n, m)))
+
+
+def ks_groups(df: DataFrame, group: str, value: str, new: Column) -> DataFrame:
+    """Rows ``(<group>, n_ref, n_new, ks_statistic, p_value)``: within each group, rows for which ``new`` holds against the others.
+
+    Missing values are left out, and groups without rows on both sides. Values are counted per group first, so a hot group costs its
+    distinct values, and running totals split it over ranges.
+    """
+    known = df.where(~is_missing(df, value) & new.isNotNull() & F.col(group).isNotNull())
+    counts = known.groupBy(F.col(group).alias("_group"), F.col(value).cast("double").alias("value")).agg(
+        F.count_if(~new).alias("r"), F.count_if(new).alias("w"))
+    totals = running_totals(counts, "value", ["r", "w"], ["_group"]).where("all_r > 0 AND all_w > 0")
+    gap = F.abs(F.col("cum_r") / F.col("all_r").cast("double") - F.col("cum_w") / F.col("all_w").cast("double"))
+    found = totals.groupBy("_group").agg(F.max("all_r").alias("n_ref"), F.max("all_w").alias("n_new"), F.max(gap).alias("ks_statistic"))
+    return ks_pvalue(found.withColumnRenamed("_group", group))
 
 
 def ks_normal(new: DataFrame, stats: DataFrame, features: list[str] | None = None) -> DataFrame:
