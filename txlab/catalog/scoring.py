@@ -9,7 +9,8 @@ from ..operators import metrics as m, models, scoring as s
 from ..operators.prepare import scale_fit
 from ..operators.validate import non_negative
 from ..plans.scoring import score_job
-from ..session import scratch_path
+from ..session import freeze, scratch_path
+from .modelling import newton_sql
 from .registry import query
 from .roles import (
     FEATURES, SCORED, SIGMOID_AMOUNT, TX, amount_score, table, transactions, vectors,
@@ -109,20 +110,26 @@ def score_with_chosen_threshold(spark, folder):
     return s.score_batch(rows, F.col("score"), chosen.scalar()).select("key", PROBABILITY, DECISION, "threshold")
 
 
-@query("score_fitted_model")
+FITTED = newton_sql("1e0").split("scored_models AS")[0].rstrip(", \n").replace("rn <= round(n * 0.2e0) AS test", "false AS test")
+
+
+@query("score_fitted_model", f"""
+  WITH RECURSIVE {FITTED},
+  named AS (SELECT 'V' || (i - 1) AS feature, abs(v) AS size FROM (SELECT unnest(w) AS v, generate_subscripts(w, 1) AS i FROM newton WHERE step = 10) WHERE i > 1),
+  top AS (SELECT string_agg(feature, ',' ORDER BY size DESC, feature) AS top_features FROM (SELECT * FROM named ORDER BY size DESC, feature LIMIT 5)),
+  s AS (SELECT vec_id, y, 1 / (1 + exp(-list_dot_product(w, x))) AS p FROM parts, newton WHERE step = 10)
+  SELECT vec_id, y::INTEGER AS "Class", round(p, 6) AS fraud_probability, (p >= 0.5e0)::INTEGER AS fraud_decision, 0.5e0 AS threshold, top_features FROM s, top""")
 def score_fitted_model(spark, folder):
-    """Score with a fitted Spark ML model and attach its five most important features."""
-    rows = vectors(spark, folder)
-    model = models.fit_model(rows, "logistic_regression", FEATURES, "Class")
+    """Score with a fitted logistic model and attach its five most important features."""
+    rows = freeze(vectors(spark, folder), "vectors")
+    model = models.fit_model(rows, "logistic_regression", FEATURES, "Class", {"solver": "newton"})
     scored = s.score_batch(rows, model, 0.5).select("vec_id", "Class", PROBABILITY, DECISION, "threshold")
     return s.with_top_importances(_round(scored, [PROBABILITY]), models.importances(model, FEATURES)).select(
-        "vec_id", "Class", PROBABILITY, DECISION, "threshold", F.map_keys("top_importances").alias("top_features"))
+        "vec_id", "Class", PROBABILITY, DECISION, "threshold", F.array_join(F.map_keys("top_importances"), ",").alias("top_features"))
 
 
 @query("top_importances")
 def top_importances(spark, folder):
     """Features of a fitted forest by importance."""
-    model = models.fit_model(vectors(spark, folder), "random_forest", FEATURES, "Class", {"n_estimators": 20})
+    model = models.fit_model(vectors(spark, folder), "random_forest", FEATURES, "Class")
     return models.importances(model, FEATURES).orderBy(F.desc("importance"), "feature").limit(5)
-
-
