@@ -113,6 +113,37 @@ def repeat_words(ws):
     return len({k for i in range(len(ws) - 4) if seen[tuple(ws[i:i + 5])] > 1 for k in range(i, i + 5)})
 
 
+@pytest.mark.parametrize("places", [8, 20_000])
+def test_sharding_with_a_huge_group(spark, monkeypatch, places):
+    monkeypatch.setattr(sharding, "PLACES", places)
+    monkeypatch.setattr(sharding, "PREFIX", 1)
+    r = random.Random(3)
+    texts = ["h" * 60_000] + [f"{k} " + "x" * r.randint(1, 90) for k in range(700)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for shards in (1, 4, 9):
+        rows = sharding.shard(docs, shards).collect()
+        order = sorted(texts, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+        size = Counter()
+        for x in rows:
+            size[x.shard] += x.size
+        assert len(rows) == len(texts) and max(size.values()) == least_capacity([len(t) + 16 for t in order], shards)
+        of = {x.doc_id: x.shard for x in rows}
+        assert [of[texts.index(t)] for t in order] == sorted(of.values())
+
+
+@pytest.mark.parametrize("shards", [3, 7])
+def test_sharding_of_many_small_groups(spark, monkeypatch, shards):
+    monkeypatch.setattr(sharding, "PLACES", 8)
+    monkeypatch.setattr(sharding, "PREFIX", 1)
+    texts = [f"{k} " + "x" * (k * 37 % 211) for k in range(600)]
+    rows = sharding.shard(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shards).collect()
+    size = Counter()
+    for x in rows:
+        size[x.shard] += x.size
+    sizes = [len(t) + 16 for t in sorted(texts, key=lambda t: hashlib.sha256(t.encode()).hexdigest())]
+    assert max(size.values()) == least_capacity(sizes, shards)
+
+
 def test_quality(awkward, empty, spark):
     more = frame(spark, [(20, "a b c d e f a b c d e f g\n" * 3, "s"), (21, "one two three four five one two three four five", "s"), (22, "a b\n\na b\n \nc #$", "s")])
     docs = awkward.union(more)

@@ -17,6 +17,8 @@ ROW_BYTES = 16
 PREFIX = 3
 #: Places at which the row of groups may be cut that the driver asks for at a time, for all parts together.
 PLACES = 20_000
+#: Groups above this part of a fair share are known from the start; there are at most LARGE * shards of them.
+LARGE = 64
 
 
 class Row:
@@ -82,7 +84,10 @@ def find_cuts(row: Row, shards: int, refine: Callable[[Row, set[int]], Row]) ->
         open_ = row.windows(low, high, shards)
         if not open_ or low == high and row.fits(high, shards, False):
             break
-        row = refine(row, open_)
+        finer = refine(row, open_)
+        if len(finer.ends) <= len(row.ends):
+            raise RuntimeError(f"{len(open_)} stretches with unknown ends were not refined")
+        row = finer
     return high, even_cuts(row.ends, high, shards)
 
 
@@ -117,8 +122,9 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text")
     of it has a smaller largest shard. ``slot`` numbers a shard's rows from 0 without gaps. An empty table gives no
     rows; with fewer groups than shards some shards are empty.
 
-    The driver holds some 4096 + ``PLACES`` ends of groups at a time, whatever the size of the table: it asks for ends
-    within those stretches only where a cut may fall. No group is gathered: its size is a combining sum, and slots are
+    The driver first learns the ends of 16^``PREFIX`` parts and of the groups above a ``LARGE``-th of a fair share, then asks
+    for some ``PLACES`` ends at a time, only within stretches where a cut may fall. A stretch is cut by the number of its
+    groups, into two pieces at least, so every round brings new ends, however unequal the groups. No group is gathered: its size is a combining sum, and slots are
     counted by hash of the key within a shard, so that a text with a third of all rows is split.
     """
     body = F.coalesce(F.col(text), F.lit(""))
@@ -127,41 +133,51 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text")
     part = F.conv(F.substring("_h", 1, PREFIX), 16, 10).cast("int")
     groups = light.groupBy("_h").agg(F.sum("size").alias("bytes")).withColumn("part", part)
     order = Window.partitionBy("part").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
-    groups = freeze(groups.withColumn("end", F.sum("bytes").over(order)), "groups")
+    groups = freeze(groups.withColumn("end", F.sum("bytes").over(order)).withColumn("i", F.count(F.lit(1)).over(order)), "groups")
     parts = groups.groupBy("part").agg(F.max("end").alias("bytes"), F.count(F.lit(1)).alias("n"), F.max("bytes").alias("largest")).orderBy("part").collect()  # 16^PREFIX at most
-    before, ends = {}, []
+    # Bytes and groups ahead of each part, and the number of the group at each known end.
+    before, ahead = np.zeros(16 ** PREFIX, "int64"), np.zeros(16 ** PREFIX, "int64")
+    number: dict[int, int] = {}
+    total = count = 0
     for r in parts:
-        before[r.part] = ends[-1] if ends else 0
-        ends.append(before[r.part] + r.bytes)
-    offsets = sorted((b, p) for p, b in before.items())
+        before[r.part], ahead[r.part] = total, count
+        total, count = total + r.bytes, count + r.n
+        number[total] = count
+    offsets = [(int(before[r.part]), r.part) for r in parts]
     starts = [b for b, _ in offsets]
+    for r in groups.where(F.col("bytes") > total // (LARGE * shards)).collect():  # LARGE * shards at most
+        at, i = int(before[r.part]) + r.end, int(ahead[r.part]) + r.i
+        number[at] = i
+        if i > 1:
+            number[at - r.bytes] = i - 1
+
+    def known() -> Row:
+        ends = sorted(number)
+        return Row(ends, [number[e] - number.get(b, 0) > 1 for b, e in zip([0] + ends, ends)], max((r.largest for r in parts), default=0))
 
     def refine(row: Row, stretches: set[int]) -> Row:
         each = max(2, PLACES // len(stretches))
-        asked = []
-        for k in sorted(stretches):
-            low, high = row.ends[k - 1] if k else 0, row.ends[k]
-            b, p = offsets[bisect_right(starts, low) - 1]
-            asked.append((k, p, low - b, high - b, max(1, -(-(high - low) // each))))
-        wanted = groups.sparkSession.createDataFrame(asked, "k int, part int, low long, high long, step long")
-        found = (groups.join(F.broadcast(wanted), "part").where("end > low AND end <= high")  # at most PLACES stretches
-                 .groupBy("k", F.expr("(end - low - 1) DIV step").alias("piece")).agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("n")).collect())
-        inner: dict[int, list] = {}
+        order = sorted(stretches)
+        lows, highs = np.array([row.ends[k - 1] if k else 0 for k in order]), np.array([row.ends[k] for k in order])
+        first = np.array([number.get(int(b), 0) for b in lows])
+        step = np.array([-(-(number[int(e)] - n) // each) for e, n in zip(highs, first)])
+
+        @F.pandas_udf("long")
+        def piece(part: pd.Series, end: pd.Series, i: pd.Series) -> pd.Series:
+            p = part.to_numpy()
+            at, nth = before[p] + end.to_numpy(), ahead[p] + i.to_numpy()
+            k = np.minimum(np.searchsorted(highs, at), len(highs) - 1)
+            inside = (at > lows[k]) & (at <= highs[k])
+            return pd.Series(np.where(inside, (k << 32) | (nth - first[k] - 1) // step[k], -1))
+
+        # A stretch lies within one part; PLACES pieces, or two for each stretch.
+        found = (groups.select("part", "end", "i", piece("part", "end", "i").alias("piece")).where("piece >= 0")
+                 .groupBy("part", "piece").agg(F.max("end").alias("end"), F.max("i").alias("i")).collect())
         for r in found:
-            inner.setdefault(r.k, []).append((r.end, r.n > 1))
-        new_ends, new_open = [], []
-        bases = {k: row.ends[k] - high for k, _, _, high, _ in asked}
-        for k, end in enumerate(row.ends):
-            if k in inner:
-                for e, more in sorted(inner[k]):
-                    new_ends.append(e + bases[k])
-                    new_open.append(more)
-            else:
-                new_ends.append(end)
-                new_open.append(row.open[k])
-        return Row(new_ends, new_open, row.largest)
-
-    row = Row(ends, [r.n > 1 for r in parts], max((r.largest for r in parts), default=0))
+            number[int(before[r.part]) + r.end] = int(ahead[r.part]) + r.i
+        return known()
+
+    row = known()
     _, cuts = find_cuts(row, shards, refine)
 
     # A cut as the hash of the last group before it: a row's shard follows from its own hash.
