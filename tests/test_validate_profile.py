@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,7 +125,7 @@ def test_correlations_with_missing_and_constant_columns(spark, monkeypatch, limi
     assert len(correlation.correlation_matrix(df, "Class", 2).collect()) == 9
 
 
-def test_wide_tables_use_the_matrix_product(spark, monkeypatch):
+def test_wide_tables_use_tiles(spark, monkeypatch):
     monkeypatch.setattr(correlation, "MAX_PAIRWISE", 2)
     df = spark.range(50).selectExpr("cast(id AS double) AS a", "cast(id * 2 AS double) AS b", "cast(id % 7 AS double) AS c")
     rows = {(r["a"], r["b"]): r["r"] for r in correlation.correlation_pairs(df, ["a", "b", "c"]).collect()}
@@ -132,6 +133,26 @@ def test_wide_tables_use_the_matrix_product(spark, monkeypatch):
     assert [(r["a"], r["b"]) for r in correlation.perfect_correlations(df).collect()] == [("a", "b")]
 
 
+@pytest.mark.parametrize("stripe", [1024, 128])
+def test_200_columns_with_gaps(spark, monkeypatch, stripe):
+    monkeypatch.setattr(correlation, "STRIPE", stripe)
+    rng = np.random.default_rng(5)
+    cells = rng.normal(size=(400, 200)) * 10.0 ** rng.integers(-3, 6, size=200) + 1e6
+    cells[:, 1] = cells[:, 0] * 3 + 1
+    cells[rng.random(cells.shape) < 0.2] = np.nan
+    cells[:, 7], cells[:200, 8], cells[200:, 9], cells[5, 11] = 4.0, np.nan, np.nan, np.inf  # 8 and 9 share no row
+    names = [f"c{k}" for k in range(200)]
+    table = pd.DataFrame(cells, columns=names)
+    got = {(r["a"], r["b"]): r["r"] for r in correlation.correlation_pairs(spark.createDataFrame(table).repartition(5), names).collect()}
+    want = (table.drop(columns=["c7", "c11"]) - 1e6).corr()  # shifted, as pandas loses digits of values far from 0
+    assert len(got) == 200 * 199 // 2
+    for (a, b), r in got.items():
+        if {a, b} & {"c7", "c11"} or {a, b} == {"c8", "c9"}:
+            assert r is None
+        else:
+            assert r == pytest.approx(want.loc[a, b], abs=1e-9)
+
+
 def test_variance_checks(spark):
     df = spark.createDataFrame([(1.0, 5.0, 1e-5, 0), (2.0, 5.0, 2e-5, 0)], "x double, flat double, faint double, Class int")
     assert {r["feature"] for r in profile.zero_variance(df).collect()} == {"flat", "Class"}

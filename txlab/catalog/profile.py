@@ -178,6 +178,21 @@ def perfect_correlations(spark, folder):
     return c.perfect_correlations(checks(spark, folder), CHECKED)
 
 
+WIDE, GAP = 64, -0.1  # components of the vectors as columns, with a gap at and below this value
+
+
+@query("correlation_wide", f"""
+  WITH v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range({WIDE})) AS k FROM embeddings WHERE len(embedding) = {WIDE}),
+  w AS (SELECT * FROM v WHERE x > {GAP} AND x <= 1)
+  SELECT 'e' || p.k AS a, 'e' || q.k AS b, round(corr(p.x, q.x), 6) AS r FROM w p JOIN w q ON p.vec_id = q.vec_id AND p.k < q.k GROUP BY ALL""")
+def correlation_wide(spark, folder):
+    """All pairs of 64 columns with gaps, tile by tile."""
+    x = [F.get("embedding", F.lit(k)).cast("double") for k in range(WIDE)]
+    vectors = table(spark, folder, "embeddings").where(F.size("embedding") == WIDE)
+    wide = vectors.select(*[F.when((x[k] > GAP) & (x[k] <= 1), x[k]).alias(f"e{k}") for k in range(WIDE)])
+    return _round_all(c.correlation_pairs(wide, wide.columns), ["r"])
+
+
 @query("zero_variance", f"WITH {CHECKS} SELECT feature, var_samp(value) AS variance FROM ({sql_long('checks', CHECKED)}) "
        "GROUP BY feature HAVING var_samp(value) = 0")
 def zero_variance(spark, folder):
