@@ -8,7 +8,7 @@ from ..functions import rounded
 from ..operators import drift as d
 from ..operators.validate import non_negative
 from ..session import freeze, scratch_path
-from ..streaming import run_available, stream_drift, stream_score, stream_summary
+from ..streaming import run_available, stream_drift, stream_score, stream_summary, stream_value_counts, window_drift
 from ..streaming.jobs import to_files
 from .drift import TAIL_AT, sql_tail
 from .registry import query
@@ -76,3 +76,25 @@ def stream_drift_query(spark, folder):
     run_available(stream_drift(_stream(spark, folder), stats, out, scratch_path(spark, "offsets"), ["Amount"]))
     return spark.read.parquet(out).select(
         "batch", "feature", "n_new", rounded(F.col("ks_statistic")).alias("ks_statistic"), rounded(F.col("p_value")).alias("p_value"), "drift")
+
+
+@query("stream_drift_windows", """
+  WITH e AS (SELECT date_trunc('day', ts) AS day, value - 1e0 AS value FROM events WHERE value IS NOT NULL),
+  closed AS (SELECT max(date_trunc('day', ts - INTERVAL 1 HOUR)) AS open_day FROM events),
+  r AS (SELECT value, sum(count(*)) OVER (ORDER BY value) AS r FROM e GROUP BY value),
+  d AS (SELECT day, count(*) AS n FROM e, closed WHERE day < open_day GROUP BY day),
+  c AS (SELECT day, value, count(*) AS w FROM e GROUP BY day, value),
+  g AS (SELECT d.day, n, r.value, r, sum(coalesce(w, 0)) OVER (PARTITION BY d.day ORDER BY r.value) AS upto
+        FROM d CROSS JOIN r LEFT JOIN c ON c.day = d.day AND c.value = r.value)
+  SELECT strftime(day, '%Y-%m-%d') AS day, 'Amount' AS feature, (SELECT count(*) FROM e)::BIGINT AS n_ref, max(n)::BIGINT AS n_new,
+         round(max(abs(r / (SELECT count(*) FROM e)::DOUBLE - upto / n::DOUBLE)), 6) AS ks_statistic
+  FROM g GROUP BY day""")
+def stream_drift_windows(spark, folder):
+    """Each day of the stream, counted in the state store, against all rows, counted once."""
+    events = table(spark, folder, "events").select((F.col("value") - FEE).alias("Amount"))
+    known = freeze(d.value_counts(events, ["Amount"]), "reference")
+    out = scratch_path(spark, "counts")
+    counts = stream_value_counts(_stream(spark, folder), "ts", ["Amount"])
+    run_available(to_files(counts, out, scratch_path(spark, "offsets")))
+    return window_drift(spark.read.schema(counts.schema).parquet(out), known).select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "feature", "n_ref", "n_new", rounded(F.col("ks_statistic")).alias("ks_statistic"))

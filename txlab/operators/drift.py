@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import exact_two_sample, is_missing, kolmogorov_tail, normal_cdf, normal_pdf, numeric_columns, ratio
-from ..session import attach_small
+from ..session import attach_small, freeze
 from .histogram import histogram
 from .profile import describe
 from .ranks import long_values, running_totals
@@ -69,6 +69,31 @@ def ks_groups(df: DataFrame, group: str, value: str, new: Column) -> DataFrame:
     return ks_pvalue(found.withColumnRenamed("_group", group))
 
 
+def value_counts(df: DataFrame, features: list[str]) -> DataFrame:
+    """Rows ``(feature, value, n)``: how often each value occurs. Enough for KS tests, and mergeable by sums."""
+    return long_values(df, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def ks_counts(reference: DataFrame, new: DataFrame, by: list[str]) -> DataFrame:
+    """Rows ``(*by, feature, n_ref, n_new, ks_statistic, p_value)``: each group of ``new`` against one reference.
+
+    ``reference`` are ``value_counts``, ``new`` has them per group of columns ``by``; equal rows of either are added up. The
+    reference is ranked once and not repeated for each group: between two values of a group its own distribution stands still, so
+    the gap is largest just below or at one of them. Features that only one side has are left out.
+    """
+    counted = freeze(new.groupBy(*by, "feature", "value").agg(F.sum("n").alias("w")), "counts")
+    places = reference.select("feature", "value", F.col("n").alias("r")).unionByName(
+        counted.select("feature", "value", F.lit(0).cast("long").alias("r")))
+    ranked = running_totals(places.groupBy("feature", "value").agg(F.sum("r").alias("r")), "value", ["r"], ["feature"])
+    ranked = ranked.where("all_r > 0").select("feature", "value", "all_r", ratio(F.col("cum_r"), F.col("all_r")).alias("_at"),
+                                              ratio(F.col("cum_r") - F.col("r"), F.col("all_r")).alias("_below"))
+    totals = running_totals(counted, "value", ["w"], [*by, "feature"]).join(ranked, ["feature", "value"])
+    at, below = ratio(F.col("cum_w"), F.col("all_w")), ratio(F.col("cum_w") - F.col("w"), F.col("all_w"))
+    gap = F.greatest(F.abs(F.col("_at") - at), F.abs(F.col("_below") - below))
+    return ks_pvalue(totals.groupBy(*by, "feature").agg(
+        F.max("all_r").alias("n_ref"), F.max("all_w").alias("n_new"), F.max(gap).alias("ks_statistic")))
+
+
 def ks_normal(new: DataFrame, stats: DataFrame, features: list[str] | None = None) -> DataFrame:
     """Rows ``(feature, n_new, ks_statistic, p_value)`` of each feature against Normal(mean, std) of ``stats``.
 

@@ -1,5 +1,5 @@
 """Scoring and drift checks on Structured Streaming, with the batch operators unchanged."""
 
-from .jobs import run_available, stream_drift, stream_score, stream_summary
+from .jobs import run_available, stream_drift, stream_score, stream_summary, stream_value_counts, window_drift
 
-__all__ = ["run_available", "stream_drift", "stream_score", "stream_summary"]
+__all__ = ["run_available", "stream_drift", "stream_score", "stream_summary", "stream_value_counts", "window_drift"]
