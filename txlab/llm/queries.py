@@ -71,7 +71,7 @@ FROM q LEFT JOIN f ON q.digest = f.digest AND n >= 100""")
 def op6(spark, folder):
     path = scratch_path(spark, "warc")
     warc.write_warc(table(spark, folder, "pages"), path)
-    return warc.payload_figures(warc.read_pages(spark, path))
+    return warc.payload_figures(warc.read_pages(spark, path, digests=True))
 
 
 @query("op7_embedding_near_dedup", """

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import freeze
@@ -27,13 +31,14 @@ def plan_records(pages: DataFrame, key: str = "page_id", body: str = "html", lea
     """``pages`` with ``payload_digest``, ``record_type`` and ``refers_to``.
 
     Of rows with equal payloads of at least ``least`` bytes that with the smallest key is the response, and rows that
-    share this key are responses too; the others revisit it. Keys are found by a combining aggregate, and the join
-    back can be split where a payload is very common.
+    share this key are responses too; the others revisit it. Keys are found by a combining aggregate over digests, and
+    payloads are shuffled once, by the join back, which can be split where a payload is very common. The payloads that
+    occur twice grow with the pages, so they are not broadcast.
     """
     digest = F.sha2(_payload(body).cast("binary"), 256)
     p = pages.withColumn("payload_digest", digest).withColumn("_long", F.octet_length(_payload(body)) >= least)
     light = pages.select(F.col(key).alias("_k"), digest.alias("_d"), F.octet_length(_payload(body)).alias("_l")).where(F.col("_l") >= least)
-    first = light.groupBy("_d").agg(F.min("_k").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    first = light.groupBy("_d").agg(F.min("_k").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").hint("merge")
     again = (F.col("_first").isNotNull()) & F.col("_long") & ~F.col(key).eqNullSafe(F.col("_first"))
     return (p.join(first, F.col("payload_digest") == F.col("_d"), "left")
             .withColumn("record_type", F.when(again, "revisit").otherwise("response"))
@@ -75,8 +80,8 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
      .option("maxRecordsPerFile", records_per_file).text(path))
 
 
-def _header(name: str) -> Column:
-    return F.regexp_extract("head", rf"(?i)(?:^|\r\n){name}:[ \t]*([^\r\n]*)", 1)
+def _header(head: Column, name: str) -> Column:
+    return F.regexp_extract(head, rf"(?i)(?:^|\r\n){name}:[ \t]*([^\r\n]*)", 1)
 
 
 def _segments(spark: SparkSession, path: str) -> DataFrame:
@@ -89,40 +94,85 @@ def _segments(spark: SparkSession, path: str) -> DataFrame:
                     F.monotonically_increasing_id().alias("n"), "value"))
 
 
-def _reachable(spark: SparkSession, candidates: DataFrame) -> DataFrame:
+def _inside(split: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and successors of a split's candidates in order, the place of each successor among them, and if it has one."""
+    split = split.sort_values("start")
+    start, following = split["start"].to_numpy(), split["next"].to_numpy()
+    at = np.minimum(np.searchsorted(start, following), len(start) - 1)
+    held = start[at] == following
+    return start, following, np.where(held, at, np.arange(len(start))), held
+
+
+def _exits(split: pd.DataFrame) -> pd.DataFrame:
+    """``split`` with ``exit``: the first offset on each candidate's chain that is not a candidate of this split."""
+    start, following, to, _ = _inside(split)
+    while not np.array_equal(to, to[to]):
+        to = to[to]
+    return pd.DataFrame({"file": split["file"].iloc[0], "block": split["block"].iloc[0], "start": start, "next": following, "exit": following[to]})
+
+
+def _visited(split: pd.DataFrame) -> pd.DataFrame:
+    """``file, start`` of the candidates on the chains from those where ``entry`` holds."""
+    _, _, to, held = _inside(split)
+    split = split.sort_values("start")
+    on = split["entry"].to_numpy().copy()
+    while held.any():
+        on[to[on & held]] = True
+        held, to = held & held[to], to[to]
+    return split.loc[on, ["file", "start"]]
+
+
+def _reachable(candidates: DataFrame) -> DataFrame:
     """``file, start`` of the records on the chain from the start of each file, by pointer jumping.
 
-    ``candidates``: ``file, start, next``. Round i knows the first 2^i records of every chain and, for each candidate,
-    the one 2^i records on; it adds what the known ones jump to and then doubles the jumps.
+    ``candidates``: ``file, block, start, next``. Chains are first followed inside each split, whose size is bounded,
+    so that only offsets that lead from split to split are left to jump. Round i of these knows the first 2^i splits
+    that a chain enters; it adds what the known entries jump to and then doubles the jumps. At last each split follows
+    its chains from its entries.
     """
-    jumps = candidates.select("file", "start", "next")
-    known = jumps.where("start = 0").select("file", "start")
+    ways = freeze(candidates.groupBy("file", "block").applyInPandas(_exits, "file string, block long, start long, next long, exit long"), "ways")
+    doors = ways.select("file", F.col("exit").alias("start")).distinct()
+    jumps = freeze(ways.where("start = 0").union(ways.join(doors, ["file", "start"], "left_semi").select(ways.columns))
+                   .select("file", "start", "exit").distinct(), "jumps")
+    places, known = jumps.select("file", "start"), jumps.where("start = 0").select("file", "start")
     size = known.count()
-    while True:
-        ahead = known.join(jumps, ["file", "start"]).select("file", F.col("next").alias("start"))
-        grown = freeze(known.union(ahead.join(candidates.select("file", "start"), ["file", "start"], "left_semi")).distinct(), "chain")
+    while size:
+        ahead = known.join(jumps, ["file", "start"]).select("file", F.col("exit").alias("start")).join(places, ["file", "start"], "left_semi")
+        grown = freeze(known.union(ahead).distinct(), "entries")
         now = grown.count()
+        known = grown
         if now == size:
-            return grown
-        known, size = grown, now
+            break
+        size = now
         a, b = jumps.alias("a"), jumps.alias("b")
-        jumps = freeze(a.join(b, (F.col("a.file") == F.col("b.file")) & (F.col("a.next") == F.col("b.start")))
-                       .select("a.file", "a.start", "b.next"), "jumps")
+        jumps = freeze(a.join(b, (F.col("a.file") == F.col("b.file")) & (F.col("a.exit") == F.col("b.start")))
+                       .select("a.file", "a.start", "b.exit"), "jumps")
+    entered = ways.select("file", "block", "start", "next").join(known.withColumn("_in", F.lit(True)), ["file", "start"], "left")
+    entered = entered.select("file", "block", "start", "next", F.coalesce("_in", F.lit(False)).alias("entry"))
+    return freeze(entered.groupBy("file", "block").applyInPandas(_visited, "file string, start long"), "chain")
+
+
+def _as_text(head: Column, block: Column) -> list[Column]:
+    return [head.cast("string").alias("head"), block.alias("block")]
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """``file, start, head, block``: the records of uncompressed archives, ``head`` and ``block`` as text.
+def read_warc(spark: SparkSession, path: str, columns: Callable[[Column, Column], list[Column]] = _as_text) -> DataFrame:
+    """``file, start`` and ``columns(head, block)`` (both binary) of the records of uncompressed archives.
+
+    A record without magics inside is one segment: its columns are made where it is read, before anything is shuffled, so
+    digests of blocks cost no shuffle of the blocks. By default they are the head as text and the block.
 
     Tasks list every place where a header with a length follows a magic, and where that record would end. Only the
     places that the chain from the start of a file comes to are records; magics and whole records inside a payload are
     not. A payload or a head that holds magics was cut there, and is put together from its segments. A file that does not begin
-    with a record, or whose chain breaks off before its end, is an error, as records would be missing. No files give no rows.
+    with a record, or whose chain breaks off before its end or leads beyond it, is an error, as records would be missing or
+    cut short. No files give no rows.
     """
     s = _segments(spark, path)
     head = F.substring_index("value", BLANK, 1)
     light = s.select("file", "block", "n", F.octet_length("value").cast("long").alias("bytes"), head.alias("head"), F.instr("value", BLANK).alias("_at"))
-    length = F.expr(r"try_cast(regexp_extract(concat(head, if(_at > 0, '\r\n', '')), '(?i)\\r\\nContent-Length:[ \\t]*(\\d+)[ \\t]*\\r\\n', 1) AS BIGINT)")
-    light = light.select("file", "block", "n", "bytes", F.col("head").rlike(r"^\d\r\n").alias("_opens"), length.alias("_says"),
+    says = F.expr(r"try_cast(regexp_extract(concat(head, if(_at > 0, '\r\n', '')), '(?i)\\r\\nContent-Length:[ \\t]*(\\d+)[ \\t]*\\r\\n', 1) AS BIGINT)")
+    light = light.select("file", "block", "n", "bytes", F.col("head").rlike(r"^\d\r\n").alias("_opens"), says.alias("_says"),
                          F.when(F.col("_at") > 0, F.octet_length("head") + len(BLANK)).cast("long").alias("_blank"))
     light = freeze(light, "segments")
     cut = len(MAGIC)
@@ -146,10 +196,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                                  F.when(known, F.col("_len.v")).alias("_length")), "candidates")
     whole = cut + F.col("_head") + F.col("_length")
     candidates = placed.where(F.col("_length").isNotNull()).withColumn("next", F.col("start") + whole + len(BLANK))
-    chain = _reachable(spark, candidates).withColumn("_on", F.lit(True))
+    chain = _reachable(candidates.select("file", "block", "start", "next")).withColumn("_on", F.lit(True))
     ends = placed.groupBy("file").agg(F.max(F.col("start") + cut + F.col("bytes")).alias("_size"))
     reached = candidates.join(chain, ["file", "start"]).groupBy("file").agg(F.max("next").alias("_reached"))
-    broken = ends.join(reached, "file", "left").where(F.coalesce("_reached", F.lit(0)) < F.col("_size") - len(BLANK)).select("file", "_reached").first()
+    # The blank lines behind the last record may be missing, but nothing else.
+    whole_file = F.coalesce("_reached", F.lit(0)).between(F.col("_size") - len(BLANK), F.col("_size") + len(BLANK))
+    broken = ends.join(reached, "file", "left").where(~whole_file).select("file", "_reached", "_size").first()
+    if broken and (broken["_reached"] or 0) > broken["_size"]:
+        raise ValueError(f"{broken['file']}: the last record ends behind the file, at byte {broken['_reached'] - len(BLANK)}")
     if broken:
         raise ValueError(f"{broken['file']}: no record follows at byte {broken['_reached'] or 0}")
 
@@ -166,29 +220,41 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     counts = need.groupBy("file", "rec").agg(F.count(F.lit(1)).alias("_n"))
     need = freeze(need.join(counts, ["file", "rec"]), "parts")
 
-    text = s.join(need, ["file", "block", "n"])
-    one = text.where("_n = 1").select("file", "rec", "_head", "_length", "value")
-    many = (text.where("_n > 1").groupBy("file", "rec", "_head", "_length").agg(F.sort_array(F.collect_list(F.struct("start", "value"))).alias("_s"))
-            .select("file", "rec", "_head", "_length", F.array_join(F.transform("_s", lambda x: x["value"]), MAGIC).alias("value")))
-    bytes_ = F.col("value").cast("binary")
-    return one.union(many).select(
-        "file", F.col("rec").alias("start"), F.substring(bytes_, F.lit(1), F.col("_head").cast("int") - len(BLANK)).cast("string").alias("head"),
-        F.substring(bytes_, F.col("_head").cast("int") + 1, F.col("_length").cast("int")).alias("block"))
+    def made(value: Column, head: Column, length: Column) -> Column:
+        body = value.cast("binary")
+        return F.struct(*columns(F.substring(body, F.lit(1), head.cast("int") - len(BLANK)), F.substring(body, head.cast("int") + 1, length.cast("int")))).alias("_made")
+
+    # A record of one segment has its head, its length and its block there; what only looks like one is not in ``need``.
+    own = s.select("file", "block", "n", "value", head.alias("head"), F.instr("value", BLANK).alias("_at")).where("_at > 0")
+    own = own.withColumns({"_head": (F.octet_length("head") + len(BLANK)).cast("long"), "_length": says}).where("_head + _length <= octet_length(value)")
+    own = own.select("file", "block", "n", made(F.col("value"), F.col("_head"), F.col("_length")))
+    one = own.join(need.where("_n = 1").select("file", "block", "n", "rec"), ["file", "block", "n"]).select("file", "rec", "_made")
+    many = (s.join(need.where("_n > 1"), ["file", "block", "n"]).groupBy("file", "rec", "_head", "_length")
+            .agg(F.sort_array(F.collect_list(F.struct("start", "value"))).alias("_s"))
+            .select("file", "rec", "_head", "_length", F.array_join(F.transform("_s", lambda x: x["value"]), MAGIC).alias("value"))
+            .select("file", "rec", made(F.col("value"), F.col("_head"), F.col("_length"))))
+    return one.union(many).select("file", F.col("rec").alias("start"), "_made.*")
 
 
-def read_pages(spark: SparkSession, path: str, key_type: str = "bigint") -> DataFrame:
+def read_pages(spark: SparkSession, path: str, key_type: str = "bigint", digests: bool = False) -> DataFrame:
     """``page_id, url, record_type, refers_to, said_digest, payload`` (binary) of archives written by ``write_warc``.
 
-    The payload of an HTTP block is what follows its head; that of a revisit is NULL.
+    The payload of an HTTP block is what follows its head; that of a revisit is NULL. With ``digests`` there are
+    ``payload_bytes`` and ``payload_digest`` in its place, made where the record is read.
     """
-    named = lambda n: F.nullif(_header(n), F.lit(""))
-    http = _header("Content-Type").startswith("application/http")
-    # The head is ASCII, so that places in characters and in bytes agree up to its end.
-    after = F.when(http, F.instr(F.col("block").cast("string"), BLANK) + len(BLANK)).otherwise(1)
-    return read_warc(spark, path).select(
-        named("X-Page-Id").cast(key_type).alias("page_id"), named("WARC-Target-URI").alias("url"), _header("WARC-Type").alias("record_type"),
-        named("X-Refers-To-Page-Id").cast(key_type).alias("refers_to"), F.regexp_replace(_header("WARC-Payload-Digest"), "^sha256:", "").alias("said_digest"),
-        F.when(_header("WARC-Type") != "revisit", F.substring("block", after, F.octet_length("block"))).alias("payload"))
+    def columns(head: Column, block: Column) -> list[Column]:
+        text = head.cast("string")
+        named = lambda n: F.nullif(_header(text, n), F.lit(""))
+        http = _header(text, "Content-Type").startswith("application/http")
+        # The head is ASCII, so that places in characters and in bytes agree up to its end.
+        after = F.when(http, F.instr(block.cast("string"), BLANK) + len(BLANK)).otherwise(1)
+        payload = F.when(_header(text, "WARC-Type") != "revisit", F.substring(block, after, F.octet_length(block)))
+        figures = [F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_digest")]
+        return [named("X-Page-Id").cast(key_type).alias("page_id"), named("WARC-Target-URI").alias("url"), _header(text, "WARC-Type").alias("record_type"),
+                named("X-Refers-To-Page-Id").cast(key_type).alias("refers_to"),
+                F.regexp_replace(_header(text, "WARC-Payload-Digest"), "^sha256:", "").alias("said_digest"), *(figures if digests else [payload.alias("payload")])]
+
+    return read_warc(spark, path, columns).drop("file", "start")
 
 
 def payload_figures(records: DataFrame) -> DataFrame:
@@ -197,8 +263,9 @@ def payload_figures(records: DataFrame) -> DataFrame:
     Both figures come from the payload that was read; a revisit has those of the response it refers to, which is found
     by id and digest.
     """
-    r = freeze(records.select("page_id", "record_type", "refers_to", "said_digest", F.octet_length("payload").cast("long").alias("payload_bytes"),
-                              F.sha2("payload", 256).alias("payload_digest")), "payloads")
+    if "payload" in records.columns:
+        records = records.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha2("payload", 256)})
+    r = freeze(records.select("page_id", "record_type", "refers_to", "said_digest", "payload_bytes", "payload_digest"), "payloads")
     own = r.where("record_type = 'response'")
     stored = own.select(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest"), F.col("payload_bytes").alias("_bytes")).distinct()
     again = r.where("record_type = 'revisit'").join(stored, (F.col("refers_to") == F.col("_id")) & (F.col("said_digest") == F.col("_digest")), "left")
