@@ -229,7 +229,9 @@ def read_warc(spark: SparkSession, path: str, columns: Callable[[Column, Column]
     own = own.withColumns({"_head": (F.octet_length("head") + len(BLANK)).cast("long"), "_length": says}).where("_head + _length <= octet_length(value)")
     own = own.select("file", "block", "n", made(F.col("value"), F.col("_head"), F.col("_length")))
     one = own.join(need.where("_n = 1").select("file", "block", "n", "rec"), ["file", "block", "n"]).select("file", "rec", "_made")
-    many = (s.join(need.where("_n > 1"), ["file", "block", "n"]).groupBy("file", "rec", "_head", "_length")
+    # Written by themselves, so that their size is known before the join: few are broadcast, and then no text is shuffled.
+    pieces = freeze(need.where("_n > 1"), "pieces")
+    many = (s.join(pieces, ["file", "block", "n"]).groupBy("file", "rec", "_head", "_length")
             .agg(F.sort_array(F.collect_list(F.struct("start", "value"))).alias("_s"))
             .select("file", "rec", "_head", "_length", F.array_join(F.transform("_s", lambda x: x["value"]), MAGIC).alias("value"))
             .select("file", "rec", made(F.col("value"), F.col("_head"), F.col("_length"))))
