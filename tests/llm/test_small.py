@@ -1,5 +1,6 @@
 """Awkward rows for every operator: NULLs, empty and long texts, repeated rows, empty tables, clashing names."""
 
+import gzip
 import hashlib
 import itertools
 import random
@@ -414,6 +415,26 @@ def test_warc_broken_chain(spark, tmp_path):
             warc.read_warc(spark, str(tmp_path / name))
 
 
+def test_warc_compressed(spark, tmp_path):
+    """Files that are one gzip stream, and a foreign one with a stream for each record."""
+    rows = [(k, "u", "WARC/1.0\r\n" * (k % 3) + "é" * 60 + str(k % 7)) for k in range(50)]
+    path = scratch_path(spark, "warc")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), path, records_per_file=20, compression="gzip")
+    read = warc.read_pages(spark, path)
+    assert read.count() == 50 and spark.read.format("binaryFile").load(path).where("path LIKE '%.gz'").count() > 0
+    plain = {r.page_id: bytes(r.payload).decode() for r in read.where("record_type = 'response'").collect()}
+    assert plain and all(plain[k] == rows[k][2] for k in plain)
+    want = {(k, len(h.encode()), hashlib.sha256(h.encode()).hexdigest()) for k, _, h in rows}
+    for digests in (False, True):
+        got = warc.payload_figures(warc.read_pages(spark, path, digests=digests)).collect()
+        assert len(got) == 50 and {(r.page_id, r.payload_bytes, r.payload_digest) for r in got} == want
+    record = "WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: {}\r\n\r\n{}\r\n\r\n"
+    bodies = ["hello", "", "a WARC/1.0\r\nContent-Length: 3\r\n\r\nxyz b"]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(record.format(len(b), b).encode()) for b in bodies))
+    got = warc.read_warc(spark, str(tmp_path)).orderBy("start").collect()
+    assert [bytes(r.block).decode() for r in got] == bodies
+
+
 def test_warc_split_files(spark):
     """Splits far smaller than a record: places and segments cross their ends."""
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")

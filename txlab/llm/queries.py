@@ -70,7 +70,7 @@ SELECT page_id, n::BIGINT AS payload_bytes, q.digest AS payload_digest,
 FROM q LEFT JOIN f ON q.digest = f.digest AND n >= 100""")
 def op6(spark, folder):
     path = scratch_path(spark, "warc")
-    warc.write_warc(table(spark, folder, "pages"), path)
+    warc.write_warc(table(spark, folder, "pages"), path, compression="gzip")
     return warc.payload_figures(warc.read_pages(spark, path, digests=True))
 
 

@@ -46,12 +46,13 @@ def plan_records(pages: DataFrame, key: str = "page_id", body: str = "html", lea
 
 
 def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", body: str = "html",
-               records_per_file: int = RECORDS_PER_FILE) -> None:
+               records_per_file: int = RECORDS_PER_FILE, compression: str = "none") -> None:
     """Write one record per row below ``path``, on any file system Spark writes to.
 
     A row is the record's header and block, and the separator of rows is the two line ends that close a record, so
     the text sink writes plain archives, with its commit protocol for tasks that are repeated. A response holds an
     HTTP head and the payload; a revisit names the digest and the record it refers to. NULL payloads are empty.
+    ``compression="gzip"`` writes each file as one gzip stream, which is read in one task; ``records_per_file`` bounds it.
     """
     p = plan_records(pages.select(key, url, body), key, body)
     head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
@@ -77,7 +78,7 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
         line("X-Page-Id", F.col(key)), line("X-Refers-To-Page-Id", F.col("refers_to")), line("Content-Type", F.lit("application/http; msgtype=response")),
         line("Content-Length", F.octet_length("_block")), F.lit(END), F.col("_block"))
     (p.withColumn("_block", block).select(record.alias("value")).write.option("lineSep", BLANK)
-     .option("maxRecordsPerFile", records_per_file).text(path))
+     .option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path))
 
 
 def _header(head: Column, name: str) -> Column:
@@ -157,7 +158,8 @@ def _as_text(head: Column, block: Column) -> list[Column]:
 
 
 def read_warc(spark: SparkSession, path: str, columns: Callable[[Column, Column], list[Column]] = _as_text) -> DataFrame:
-    """``file, start`` and ``columns(head, block)`` (both binary) of the records of uncompressed archives.
+    """``file, start`` and ``columns(head, block)`` (both binary) of the records of archives, plain or (``.gz``) compressed
+    as a whole or record by record; offsets are those of the plain text.
 
     A record without magics inside is one segment: its columns are made where it is read, before anything is shuffled, so
     digests of blocks cost no shuffle of the blocks. By default they are the head as text and the block.
