@@ -176,3 +176,25 @@ def test_report_has_every_section(spark):
     assert sections == {"summary", "missing", "describe", "class", "duplicates", "perfect_correlation",
                         "target_correlation", "histogram_x"}
     assert report.where("section = 'duplicates' AND metric = 'duplicates'").first()["value"] == 1.0
+
+
+def test_report_by_class_with_matrix(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 0), (2.0, 4.0, 1), (2.0, None, 1), (6.0, 4.0, 1), (9.0, 1.0, None)], "x double, y double, Class int")
+    report = eda_report(df.where("Class IS NOT NULL"), "Class", ["x"], bins=4, by_class=True, matrix=True)
+    got = {(r["name"], r["metric"]): r["value"] for r in report.where("section = 'class_histogram_x'").collect()}
+    assert [got[f"1:{k}", "n"] for k in range(4)] == [2, 0, 0, 1] and sum(got[f"0:{k}", "n"] for k in range(4)) == 1
+    assert (got["1:0", "lo"], got["1:3", "hi"]) == (2.0, 6.0)
+    pairs = {r["name"] for r in report.where("section = 'correlation'").collect()}
+    assert pairs == {"x~y", "x~Class", "y~Class"}
+    assert eda_report(df.where("false"), "Class", ["x"], by_class=True, matrix=True).where("section = 'correlation'").count() == 3
+
+
+def test_describe_reads_three_times(spark, tmp_path):
+    """Two passes when it is called, for moments with the sketch and for the counts; its plan has the third."""
+    spark.range(1000).selectExpr("id", "id % 7 AS b").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    out = profile.describe(df, ["id", "b"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 2  # the last pass, shown in both halves of an adaptive plan at most
+    got = {r["feature"]: r for r in out.collect()}
+    assert (got["id"]["p25"], got["id"]["p50"], got["id"]["max"], got["b"]["min"]) == (249.75, 499.5, 999.0, 0.0)

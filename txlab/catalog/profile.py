@@ -246,3 +246,21 @@ def sql_report() -> str:
 def eda_report_query(spark, folder):
     """The whole exploratory report."""
     return _round_all(eda_report(checks(spark, folder), "Class", ["Amount"]), ["value"])
+
+
+def sql_report_by_class() -> str:
+    pairs = " UNION ALL ".join(
+        f"""SELECT 'correlation' AS section, '{a}~{b}' AS name, 'r' AS metric,
+          CASE WHEN stddev_pop("{a}") > 0 AND stddev_pop("{b}") > 0 THEN round(corr("{a}", "{b}"), 6) END AS value FROM checks"""
+        for i, a in enumerate(CHECKED) for b in CHECKED[i + 1:])
+    bins = " UNION ALL ".join(
+        f"""SELECT 'class_histogram_Amount', "Class"::VARCHAR || ':' || bin::VARCHAR, '{f}', {f}::DOUBLE FROM hc""" for f in ("lo", "hi", "n"))
+    return f"""
+  WITH {CHECKS}, hc AS (WITH {sql_histogram("checks", "Amount", 50, "Class").strip()})
+  SELECT * FROM ({sql_report()}) UNION ALL ({pairs}) UNION ALL ({bins})"""
+
+
+@query("eda_report_by_class", sql_report_by_class())
+def eda_report_by_class(spark, folder):
+    """The exploratory report with the histograms of each class and the whole correlation matrix."""
+    return _round_all(eda_report(checks(spark, folder), "Class", ["Amount"], by_class=True, matrix=True), ["value"])

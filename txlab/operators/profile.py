@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from ..functions import is_missing, numeric_columns, present, ratio, string_columns
-from .quantiles import QUARTILES, approx_quantiles, exact_quantiles
+from .quantiles import QUARTILES, approx_quantiles, exact_quantiles, sketched
 
 WIDTHS = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
@@ -47,26 +47,32 @@ def table_summary(df: DataFrame) -> DataFrame:
         (F.coalesce(F.col("_bytes"), F.lit(0)).cast("double") / 1048576.0).alias("size_mb"))
 
 
-def _moments(df: DataFrame, columns: list[str]) -> DataFrame:
-    parts = []
+def _moments(df: DataFrame, columns: list[str], beside: list[Column]) -> tuple[DataFrame, Row]:
+    """Count, mean, deviation and range per column, and the row of the same pass that also has the aggregates ``beside``."""
+    parts = list(beside)
     for i, c in enumerate(columns):
         v = present(df, c).cast("double")
         parts += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"a{i}"), F.stddev_samp(v).alias(f"s{i}"),
                   F.min(v).alias(f"l{i}"), F.max(v).alias(f"h{i}")]
-    cells = F.array(*[F.struct(
-        F.lit(c).alias("feature"), F.col(f"n{i}").alias("count"), F.col(f"a{i}").alias("mean"),
-        F.col(f"s{i}").alias("std"), F.col(f"l{i}").alias("min"), F.col(f"h{i}").alias("max"))
-        for i, c in enumerate(columns)])
-    return df.agg(*parts).select(F.inline(cells))
+    row = df.agg(*parts).first()
+    lines = [(c, *(row[f"{figure}{i}"] for figure in "naslh")) for i, c in enumerate(columns)]
+    return df.sparkSession.createDataFrame(
+        [(c, n, *(None if x is None else float(x) for x in rest)) for c, n, *rest in lines],
+        "feature string, count long, mean double, std double, min double, max double"), row
 
 
 def describe(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """Rows ``feature, count, mean, std, min, p25, p50, p75, max``; std has n-1 below the line."""
+    """Rows ``feature, count, mean, std, min, p25, p50, p75, max``; std has n-1 below the line.
+
+    The table is read three times: one pass for the moments and the sketch of the quartiles, and the two that make
+    them exact. With ``exact=False`` it is read twice.
+    """
     columns = columns or numeric_columns(df)
-    quantiles = (exact_quantiles if exact else approx_quantiles)(df, columns, QUARTILES)
+    moments, row = _moments(df, columns, sketched(columns) if exact else [])
+    quantiles = exact_quantiles(df, columns, QUARTILES, row) if exact else approx_quantiles(df, columns, QUARTILES)
     wide = quantiles.groupBy("feature").agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"p{round(p * 100)}") for p in QUARTILES])
-    return _moments(df, columns).join(wide, "feature", "left").select(
+    return moments.join(wide, "feature", "left").select(
         "feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from .ranks import running_totals
 
@@ -27,7 +27,7 @@ def approx_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES, accurac
     return per_feature.select("feature", F.inline_outer(pairs)).toDF("feature", "prob", "value")
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES, sketch: Row | None = None) -> DataFrame:
     """Rows ``(feature, prob, value)``, linear interpolation between neighbouring ranks.
 
     Pass 1 takes a sketch and brackets every wanted rank between two values. Pass 2
@@ -35,11 +35,12 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataF
     a sliver of the data, which are then ranked exactly. The sketch only chooses the
     brackets; the wanted ranks are checked to lie inside them, and a bracket that
     misses is opened to the whole column, so the answer never depends on the sketch.
+    ``sketch`` is a row with the columns of ``sketched``, if another pass has made them.
     """
     probs = [float(p) for p in probs]
     spark = df.sparkSession
     known, spans = [], []
-    for feature, prob, low, high, under, upto, total in _bracketed(df, columns, probs):
+    for feature, prob, low, high, under, upto, total in _bracketed(df, columns, probs, sketch):
         if total == 0:
             continue
         first, last = _wanted(prob, total)
@@ -82,18 +83,22 @@ def _wanted(prob: float, total: int) -> tuple[int, int]:
     return math.floor(position), math.ceil(position)
 
 
-def _bracketed(df: DataFrame, columns: list[str], probs: list[float]) -> list[tuple]:
+def sketched(columns: list[str], probs=QUARTILES) -> list[Column]:
+    """Aggregates whose values bracket the wanted quantiles of each column, to go into a pass that is made anyway."""
+    slack = 3.0 / ACCURACY
+    asked = [edge for p in probs for edge in (max(0.0, p - slack), min(1.0, p + slack))]
+    return [F.percentile_approx(_clean(c), asked, ACCURACY).alias(f"_sketch{i}") for i, c in enumerate(columns)]
+
+
+def _bracketed(df: DataFrame, columns: list[str], probs: list[float], sketch: Row | None = None) -> list[tuple]:
     """``(column, prob, low, high, values below low, values up to high, values)`` per wanted quantile.
 
-    Two aggregates whose results are bounded by the width of the table.
+    Two aggregates, or one beside a given sketch, whose results are bounded by the width of the table.
     """
-    slack = 3.0 / ACCURACY
-    asked = [edge for p in probs for edge in (max(0.0, p - slack), min(1.0, p + slack))]
-    sketch = df.agg(*[F.percentile_approx(_clean(c), asked, ACCURACY).alias(f"q{i}")
-                      for i, c in enumerate(columns)]).first()
+    sketch = sketch or df.agg(*sketched(columns, probs)).first()
     brackets = []
     for i, c in enumerate(columns):
-        edges = sketch[f"q{i}"]
+        edges = sketch[f"_sketch{i}"]
         for j, p in enumerate(probs):
             low, high = (edges[2 * j], edges[2 * j + 1]) if edges else (-math.inf, math.inf)
             brackets.append((c, p, low, high))

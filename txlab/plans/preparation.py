@@ -18,7 +18,8 @@ def prepare_data(raw: DataFrame, key: str, features: list[str] = FEATURES, label
 
     Split first, fit the scaler on ``fit_on`` ('train' or 'all'), rebalance the training rows only.
     """
-    split = stratified_split(raw, key, label, test_size, seed)
+    # Written once: the scaler, both parts and every pass of the rebalancing read it.
+    split = freeze(stratified_split(raw, key, label, test_size, seed), "split")
     columns = ["Amount", "Time"] if include_time else ["Amount"]
     stats = freeze(scale_fit(split if fit_on == "all" else split.where(F.col("split") == "train"), columns), "scaler")
     prepared = prepare_features(split, key, stats, features, label, include_time, keep=["split"])
