@@ -625,6 +625,16 @@ def test_pipeline(spark, awkward, tmp_path):
     assert {(r.doc_id, r.decoded_sha256) for r in result} <= text
 
 
+def test_pipeline_links_fingerprints(spark, tmp_path):
+    """Fingerprints count repeats, sets of shingles do not: texts with one much repeated passage are close in the former only."""
+    passage = " ".join(f"w{k}" for k in range(9)) + " "
+    texts = [passage * 40 + prose(k, 20) for k in (1, 2)] + [prose(3, 200)]
+    assert (simhash.fingerprint(texts[0]) ^ simhash.fingerprint(texts[1])).bit_count() <= simhash.DISTANCE
+    docs = frame(spark, [(k, t, "s") for k, t in enumerate(texts)]).select(*corpus_pipeline.COLUMNS)
+    assert {x.doc_id for x in simhash.keep_first(docs, "doc_id", shingle=5, similarity=0.8).collect()} == {0, 1, 2}
+    assert {x.doc_id for x in corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect()} == {0, 2}
+
+
 LARGE = (1 << 53) + 1
 
 
