@@ -166,7 +166,9 @@ def similar(docs: DataFrame, key: str, text: str, shingle: int, similarity: floa
                 .select("ah", "bh", F.size(F.array_intersect("a", "b")).alias("same"), (F.size("a") + F.size("b")).alias("all")))
         return freeze(both.where(F.col("same") >= (F.col("all") - F.col("same")) * similarity - 1e-9).select("ah", "bh"), "alike")
 
-    groups = banded_groups(nodes, similarity, verified).withColumnRenamed("node", "h")
+    ids = nodes.select("h", F.xxhash64("h").alias("n"), "n_chars")
+    rows = nodes.select(F.xxhash64("h").alias("n"), F.explode("v").alias("v"))
+    groups = banded_groups(rows, ids, similarity, verified).withColumnRenamed("node", "h")
     placed = nodes.join(groups, "h", "left").select(F.col("h").alias("fp"), "low", F.coalesce("component", "h").alias("component"))
     lowest = placed.groupBy("component").agg(F.min("low").alias("lowest"))
     names = placed.join(lowest, "component").select("fp", "lowest", F.col("component").alias("group"))
