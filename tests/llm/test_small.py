@@ -625,6 +625,21 @@ def test_pipeline(spark, awkward, tmp_path):
     assert {(r.doc_id, r.decoded_sha256) for r in result} <= text
 
 
+def test_line_dedup_keeps_only_its_groups(spark, awkward):
+    """Of all tables that line dedup writes on the way only the groups are left; rows given twice change nothing."""
+    import os
+
+    from txlab import session
+
+    folder = os.path.dirname(session.scratch_path(spark, "x"))
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    docs = awkward.select("doc_id", "text").where("length(text) < 2000 OR text IS NULL")
+    once = lines.removals(docs, "doc_id", find=lines.groups_by_similarity).collect()
+    assert {n.split("-")[0] for n in set(os.listdir(folder)) - before} == {"groups"}
+    twice = lines.removals(docs.union(docs), "doc_id", find=lines.groups_by_similarity).collect()
+    assert sorted(map(str, once)) == sorted(map(str, twice)) and any(r.removed for r in once)
+
+
 def test_pipeline_links_fingerprints(spark, tmp_path):
     """Fingerprints count repeats, sets of shingles do not: texts with one much repeated passage are close in the former only."""
     passage = " ".join(f"w{k}" for k in range(9)) + " "
