@@ -672,3 +672,17 @@ def test_decode_of_batches_without_ids(spark):
     path, pattern, _ = encoding()
     docs = spark.createDataFrame([(1, ""), (2, None)], "doc_id long, text string")
     assert [bytes(r.bytes) for r in bpe.decode(bpe.encode(docs, "doc_id", path, pattern), "doc_id", path).collect()] == [b"", b""]
+
+
+def test_bpe_recursive_queries():
+    """Both recursive queries, by themselves and as ``learn`` picks them, against tiktoken."""
+    path, pattern, own = encoding()
+    r = random.Random(9)
+    parts = ["".join(r.choice("etaoin shé中") for _ in range(n)).strip() or "x" for n in [1, 1, 2, 2, 3, 5, 8, 13, 40, 200] * 5] + ["aaaa" * 20, "ab" * 31]
+    words = sorted({" ".join(w.split()).replace(" ", "") or "y" for w in parts}, key=len)
+    encoder = bpe.Encoder(path, pattern)
+    want = {k: own._core_bpe.encode_single_piece(w.encode()) for k, w in enumerate(words)}
+    for query in (bpe.CONTRACT, bpe.CONTRACT_LONG):
+        assert {w: list(ids) for w, ids in encoder.contract([w.encode() for w in words], query)} == want
+    encoder.learn({"etaoin" * 300, *words})
+    assert encoder.known["etaoin" * 300][1].decode().split() == [str(i) for i in own._core_bpe.encode_single_piece(b"etaoin" * 300)]

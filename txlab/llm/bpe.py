@@ -6,6 +6,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -13,7 +14,11 @@ from pyspark.sql import DataFrame, functions as F
 from .text import key_text, keyed_back
 
 #: Distinct words that one recursive query contracts at a time: bounds the memory of a task.
-WORDS_PER_QUERY = 40_000
+WORDS_PER_QUERY = 20_000
+#: Of words of so many bytes a query keeps the current round only, which costs more but bounds memory.
+LONG_WORD = 1_000
+#: Rank of a pair that is no token: after all others.
+NEVER = (1 << 31) - 1
 #: Words whose ids a Python worker remembers. It forgets all when full, which costs time and changes nothing.
 REMEMBERED = 600_000
 
@@ -24,27 +29,27 @@ WITH cuts AS (SELECT t.id, t.hex, unnest(range(1, length(t.hex) // 2)) AS cut FR
 SELECT (l.id::BIGINT << 32) + r.id AS pair, c.id AS id FROM cuts c
 JOIN vocab l ON l.hex = c.hex[:2 * c.cut] JOIN vocab r ON r.hex = c.hex[2 * c.cut + 1:]"""
 
-#: One row per token position and round; ``slot`` holds the word in its upper half and the place in its lower half.
-#: A round merges, in every word that has a mergeable pair, the pair with the smallest rank, and of equal ones the
-#: leftmost. A word without such a pair has come to its fixpoint: its last round holds its ids.
-CONTRACT = """
-WITH RECURSIVE state AS (
-  SELECT 0 AS round, (w::BIGINT << 32) + pos AS slot, v.id AS tok
-  FROM (SELECT w, hex, unnest(range(0, length(hex) // 2)) AS pos FROM words) p JOIN vocab v ON v.hex = p.hex[2 * pos + 1 : 2 * pos + 2]
+#: One row per word and round: its tokens and the ranks of their neighbouring pairs. A round merges, in every word that
+#: has a mergeable pair, the pair with the smallest rank, and of equal ones the leftmost; only the two pairs that the new
+#: token makes with its neighbours are looked up. A word without a mergeable pair has come to its fixpoint: its row holds its ids.
+def _contract(kept: str) -> str:
+    return f"""
+WITH RECURSIVE state(w, toks, ranks, best, place) {kept} (
+  SELECT w, toks, ranks, list_min(ranks), list_position(ranks, list_min(ranks)) FROM words
   UNION ALL
-  (WITH paired AS (
-     SELECT round, slot, slot >> 32 AS w, tok, lead(tok) OVER o AS after, lead(slot) OVER o >> 32 AS w_after, lag(slot) OVER o AS before
-     FROM state WINDOW o AS (ORDER BY slot)
-   ), best AS (
-     SELECT w, min((m.id::BIGINT << 32) + (slot & 4294967295)) AS first
-     FROM paired JOIN merges m ON m.pair = (tok::BIGINT << 32) + after WHERE w_after = w GROUP BY w
-   ), chosen AS (SELECT w, (w << 32) + (first & 4294967295) AS place, (first >> 32)::INT AS merged FROM best)
-   SELECT round + 1, slot, CASE WHEN slot = place THEN merged ELSE tok END
-   FROM paired JOIN chosen USING (w) WHERE before IS NULL OR before <> place)
-), last AS (SELECT slot >> 32 AS w, max(round) AS round FROM state GROUP BY 1)
-SELECT last.w AS w, count(*) AS n, string_agg(s.tok::VARCHAR, ' ' ORDER BY s.slot) AS ids,
-       string_agg(v.hex, '' ORDER BY s.slot) AS decoded
-FROM state s JOIN last ON last.w = s.slot >> 32 AND last.round = s.round JOIN vocab v ON v.id = s.tok GROUP BY last.w"""
+  (WITH merged AS (
+     SELECT w, best, place, ranks, toks[1:place - 1] || [best] || toks[place + 2:] AS toks, toks[place - 1] AS before, toks[place + 2] AS after
+     FROM state WHERE best < {NEVER}
+   ), ranked AS (
+     SELECT w, toks, ranks[1:greatest(place - 2, 0)] || CASE WHEN place > 1 THEN [coalesce(l.id, {NEVER})::INT] ELSE [] END
+       || CASE WHEN after IS NOT NULL THEN [coalesce(r.id, {NEVER})::INT] ELSE [] END || ranks[place + 2:] AS ranks
+     FROM merged LEFT JOIN merges l ON l.pair = (before::BIGINT << 32) + best LEFT JOIN merges r ON r.pair = (best::BIGINT << 32) + after
+   )
+   SELECT w, toks, ranks, list_min(ranks), list_position(ranks, list_min(ranks)) FROM ranked)
+) SELECT w, toks FROM state WHERE coalesce(best, {NEVER}) = {NEVER}"""
+
+
+CONTRACT, CONTRACT_LONG = _contract("AS"), _contract("USING KEY (w) AS").replace("UNION ALL", "UNION")
 
 
 class Encoder:
@@ -56,11 +61,19 @@ class Encoder:
 
         rows = [line.split() for line in open(vocabulary, "rb") if line.strip()]
         vocab = pd.DataFrame({"hex": [base64.b64decode(a).hex() for a, _ in rows], "id": [int(b) for _, b in rows]})
+        self.tokens = {i: (str(i).encode(), bytes.fromhex(h)) for h, i in zip(vocab["hex"], vocab["id"])}
         self.find = regex.compile(pattern).findall
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         self.con.execute("SET preserve_insertion_order = false")
         self.con.execute("CREATE TABLE vocab AS SELECT hex, id::INTEGER AS id FROM vocab")
         self.con.execute(MERGES)
+        first = {i: t[0] for i, (_, t) in self.tokens.items() if len(t) == 1}
+        self.single = np.zeros(256, np.int32)
+        self.single[list(first.values())] = list(first)
+        self.pairs = np.full((256, 256), NEVER, np.int32)
+        for pair, i in self.con.execute("SELECT pair, id FROM merges").fetchall():
+            if pair >> 32 in first and pair & 0xFFFFFFFF in first:
+                self.pairs[first[pair >> 32], first[pair & 0xFFFFFFFF]] = i
         self.known: dict[str, tuple[int, bytes, bytes]] = {}
 
     def learn(self, words: set[str]) -> None:
@@ -70,11 +83,28 @@ class Encoder:
             self.known.clear()
             new = list(words)
         new.sort(key=len)  # words of like length need like many rounds
-        for k in range(0, len(new), WORDS_PER_QUERY):
-            part = new[k:k + WORDS_PER_QUERY]
-            words = pd.DataFrame({"w": range(len(part)), "hex": [w.encode().hex() for w in part]})  # noqa: F841
-            for w, n, ids, decoded in zip(*self.con.execute(CONTRACT).fetchnumpy().values()):
-                self.known[part[w]] = int(n), ids.encode(), bytes.fromhex(decoded)
+        raw = [w.encode() for w in new]
+        cut = next((k for k, r in enumerate(raw) if len(r) >= LONG_WORD), len(raw))
+        for of, query in ((range(0, cut), CONTRACT), (range(cut, len(raw)), CONTRACT_LONG)):
+            for k in range(of.start, of.stop, WORDS_PER_QUERY):
+                part = raw[k:min(k + WORDS_PER_QUERY, of.stop)]
+                for w, ids in self.contract(part, query):
+                    found = [self.tokens[i] for i in ids]
+                    self.known[new[k + w]] = len(ids), b" ".join([i for i, _ in found]), b"".join([t for _, t in found])
+
+    def contract(self, part: list[bytes], query: str) -> Iterator[tuple[int, list[int]]]:
+        """Place in ``part`` and ids of every word, by a recursive query that begins with the single bytes."""
+        ends = np.cumsum([0, *map(len, part)])
+        b = np.frombuffer(b"".join(part), np.uint8)
+        inside = np.ones(len(b), bool)
+        inside[ends[1:] - 1] = False  # the last byte of a word makes no pair
+        ranks = np.append(self.pairs[b[:-1], b[1:]], np.int32(NEVER))[inside]
+        words = pa.table({"w": pa.array(np.arange(len(part), dtype=np.int32)),  # noqa: F841
+                          "toks": pa.ListArray.from_arrays(ends.astype(np.int32), self.single[b]),
+                          "ranks": pa.ListArray.from_arrays((ends - np.arange(len(ends))).astype(np.int32), ranks)})
+        self.con.execute(query)
+        while rows := self.con.fetchmany(50_000):
+            yield from rows
 
 
 _encoder: dict[tuple[str, str], Encoder] = {}
@@ -148,8 +178,8 @@ def round_trip(docs: DataFrame, key: str, vocabulary: str, pattern: str, text: s
             texts = [t if isinstance(t, str) else "" for t in f["_text"]]
             rows = []
             for ws in _encoded(vocabulary, pattern, texts):
-                rows.append((sum([w[0] for w in ws]), hashlib.sha256(b" ".join([w[1] for w in ws])).hexdigest(),
-                             hashlib.sha256(b"".join([w[2] for w in ws])).hexdigest()))
+                n, ids, decoded = zip(*ws) if ws else ((), (), ())
+                rows.append((sum(n), hashlib.sha256(b" ".join(ids)).hexdigest(), hashlib.sha256(b"".join(decoded)).hexdigest()))
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"], index=f.index)
             out.insert(0, key, f[key])
             yield out
