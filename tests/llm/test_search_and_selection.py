@@ -208,3 +208,28 @@ def test_long_texts_are_cut_between_pieces(monkeypatch):
     raw = phrases._tidy(prose(4, 2000))
     parts = list(phrases._portions(raw))
     assert b"\n".join(parts) == raw and len(parts) > 20
+
+
+def test_frequent_runs_need_frequent_parts():
+    """A run that its own filter lets through by chance stays out if a part is not frequent, and one bit of two is not enough."""
+    import pyarrow as pa
+
+    b = phrases.Block([pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array(["a b c d e\n"]), pa.array([2], pa.int32()), pa.array([40])], ["lang", "chunk", "own", "times"])])
+    none, every = np.zeros(phrases.FILTER_WORDS, np.uint64), np.full(phrases.FILTER_WORDS, 2**64 - 1, np.uint64)
+
+    def starts(*filters):
+        return [i.tolist() for _, i, _ in phrases._frequent_runs(b, dict(enumerate(filters, 1)), 4)]
+
+    assert starts(every, every, every, every) == [[0, 1], [0, 1], [0, 1], [0, 1]]
+    assert starts(every, none, every, every) == [[0, 1], [], [], []]
+    h = b.w.hashes(np.array([1]), np.array([2]), b.salt[:1])[0]
+
+    def held(*places):
+        f = none.copy()
+        for g in places:
+            f[int(g) >> 44] |= np.uint64(1 << (int(g) >> 38 & 63))
+        return f
+
+    second = int(h) << 26 & 2**64 - 1
+    assert starts(every, held(h, second), every, every)[:3] == [[0, 1], [1], []]
+    assert starts(every, held(h), every, every)[1] == starts(every, held(second), every, every)[1] == []

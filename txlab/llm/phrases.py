@@ -25,6 +25,7 @@ SPARSE = 16
 #: Bytes of text that are parsed or counted at a time.
 PORTION = 3_000_000
 #: Bits of the filter of frequent phrases, in 64-bit words: 8 MB whatever the corpus. It lets too much pass, never too little.
+#: A hash has two bits in it, so that what passes wrongly stays rare while under a tenth of the bits is set.
 FILTER_WORDS = 1 << 20
 #: Salts among which the best phrases of a language are found before they meet, in two steps.
 SALTS = (256, 16)
@@ -200,7 +201,29 @@ def _weighted(h: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _passes(filters: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return (filters[(h >> np.uint64(44)).astype(np.int64)] >> (h >> np.uint64(38) & np.uint64(63))) & np.uint64(1) != 0
+    def bit(g: np.ndarray) -> np.ndarray:
+        return filters[(g >> np.uint64(44)).astype(np.int64)] >> (g >> np.uint64(38) & np.uint64(63)) & np.uint64(1)
+
+    return (bit(h) & bit(h << np.uint64(26))).astype(bool)
+
+
+def _frequent_runs(b: Block, filters: dict[int, np.ndarray], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``n``, first words and hashes of the runs that start in the own part of a chunk and that no filter rules out.
+
+    A phrase is no more frequent than its parts, so a run must pass by itself, and both its parts of ``n - 1`` words must. Without that the runs
+    let through by chance would grow with the frequent phrases times all runs.
+    """
+    i = _runs(b, 1)
+    for n in range(1, longest + 1):
+        i = i[i + n <= len(b.mine)]
+        i = i[b.w.piece[i] == b.w.piece[i + n - 1]]
+        h = b.w.hashes(i, i + n - 1, b.salt[i])
+        ok = _passes(filters[n], h)
+        i, h = i[ok], h[ok]
+        if n > 1:
+            ok = _passes(filters[n - 1], b.w.hashes(i + 1, i + n - 1, b.salt[i]))
+            i, h = i[ok], h[ok]
+        yield n, i, h
 
 
 def _frequent_filter(entries: DataFrame, n: int, filters: dict, least: int) -> np.ndarray:
@@ -223,6 +246,7 @@ def _frequent_filter(entries: DataFrame, n: int, filters: dict, least: int) -> n
 
     often = _lines(entries).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 38) & 63 as int))")
+    often = often.select(F.explode(F.array("h", F.shiftleft("h", 26))).alias("h"))
     words = often.groupBy(F.shiftrightunsigned("h", 44).alias("at")).agg(F.bit_or(bit).alias("bits")).toPandas()  # FILTER_WORDS rows at most
     out = np.zeros(FILTER_WORDS, np.int64)
     out[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
@@ -249,11 +273,7 @@ def frequencies(entries: DataFrame, least: int = LEAST, longest: int = LONGEST)
         known, found = shared.value, {}
         for b in _blocks(batches):
             raw = b.w.b.tobytes()
-            for n in range(1, longest + 1):
-                i = _runs(b, n)
-                h = b.w.hashes(i, i + n - 1, b.salt[i])
-                ok = _passes(known[n], h)
-                i, h = i[ok], h[ok]
+            for n, i, h in _frequent_runs(b, known, longest):
                 # Equal runs of a block are added up before their words are cut out: 128 bits of hash and the length tell runs apart.
                 order = np.lexsort((b.w.lengths(i, i + n - 1), b.w.hashes(i, i + n - 1, ~b.salt[i], 1), h))
                 i, h = i[order], h[order]
