@@ -196,6 +196,19 @@ def test_search_and_refit(data):
     assert results.first()["roc_auc"] > 0.6
 
 
+def test_search_summarises_all_trials_together(data, monkeypatch):
+    df, calls = data[0], []
+    summary = models.cv_summary
+    for module in (models, search):
+        monkeypatch.setattr(module, "cv_summary", lambda *a: calls.append(1) or summary(*a), raising=False)
+    _, trials = search.random_search(df, "logistic_regression", FEATURES, "id", "Class", trials=3, folds=2)
+    assert len(calls) == 1
+    parts = models.fold_parts(df, FEATURES, "id", "Class", 2, 42)
+    for row, params in zip(trials.orderBy("trial").collect(), search.draw("logistic_regression", 3)):
+        alone = models.cross_validate_parts(parts, "logistic_regression", FEATURES, "id", "Class", params).where("metric = 'pr_auc'").first()
+        assert (row["pr_auc_mean"], row["pr_auc_std"]) == pytest.approx((alone["mean"], alone["std"]))
+
+
 def calibration_rows(spark, n=2000):
     rng = np.random.default_rng(0)
     p = rng.random(n).round(3)
