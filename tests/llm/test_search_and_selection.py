@@ -233,3 +233,22 @@ def test_frequent_runs_need_frequent_parts():
     second = int(h) << 26 & 2**64 - 1
     assert starts(every, held(h, second), every, every)[:3] == [[0, 1], [1], []]
     assert starts(every, held(h), every, every)[1] == starts(every, held(second), every, every)[1] == []
+
+
+def test_phrases_are_cut_out_at_one_place(spark, monkeypatch):
+    """The last pass gives a frequent phrase for the places that counts carry, not once for each task that holds it."""
+    rows = [("en", f"alpha beta u{k}", 3, 1) for k in range(400)]
+    entries = spark.createDataFrame(rows, "lang string, chunk string, own int, times long").repartition(20)
+    made, plain = [], type(entries).mapInArrow
+    monkeypatch.setattr(type(entries), "mapInArrow", lambda *a, **o: made.append(plain(*a, **o)) or made[-1])
+    found = {tuple(r) for r in phrases.frequencies(entries, 30).select("lang", "phrase", "size", "f").collect()}
+    assert found == {("en", "alpha", 1, 400), ("en", "beta", 1, 400), ("en", "alpha beta", 2, 400)}
+    assert 3 <= sum(df.count() for df in made if "phrase" in df.columns) <= 9
+
+
+def test_phrases_of_languages_with_one_checksum(spark):
+    """``plumless`` and ``buckeroo`` have the same crc32; chunks may also share a place."""
+    assert zlib.crc32(b"plumless") == zlib.crc32(b"buckeroo")
+    rows = [(f"one two u{k}", "plumless" if k % 3 else "buckeroo") for k in range(90)]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    assert collocation_rows(df, least=30) == brute_collocations(rows, 30, 2000, 80)

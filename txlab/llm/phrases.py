@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -144,7 +146,7 @@ def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
 
 
 class Block:
-    """Chunks of the dictionary as words, and per word the weight of its chunk, whether it is its own, and its language."""
+    """Chunks of the dictionary as words, and per word the weight of its chunk, whether it is its own, its language and its place, if given."""
 
     def __init__(self, parts: list[pa.RecordBatch]):
         t = pa.Table.from_batches(parts).combine_chunks()
@@ -157,8 +159,14 @@ class Block:
         self.langs = lang.dictionary.to_pylist()
         self.lang = lang.indices.to_numpy()[of]
         self.salt = np.array([zlib.crc32(g.encode()) for g in self.langs], np.uint64)[self.lang]
+        self.second = np.array([int.from_bytes(hashlib.sha256(g.encode()).digest()[:8], "big") for g in self.langs], np.uint64)[self.lang]
+        self.at = t.column(4).to_numpy()[of] if t.num_columns > 4 else None
         self.mine = np.arange(len(of)) - np.searchsorted(of, np.arange(len(t)))[of] < own
 
+    def checks(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """32 more bits of hash of runs, by another base and another salt of the language."""
+        return (self.w.hashes(first, last, self.second[first], 1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     """The dictionary of a task in blocks of about ``PORTION`` bytes."""
@@ -175,7 +183,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
 
 
 def _lines(entries: DataFrame) -> DataFrame:
-    return entries.select("lang", F.concat("chunk", F.lit("\n")).alias("chunk"), "own", "times")
+    """``entries`` as blocks read them. ``at`` is the place of a chunk: a hash, which few chunks share."""
+    return entries.select("lang", F.concat("chunk", F.lit("\n")).alias("chunk"), "own", "times", F.hash("lang", "chunk").alias("at"))
 
 
 def _runs(b: Block, n: int) -> np.ndarray:
@@ -184,27 +193,19 @@ def _runs(b: Block, n: int) -> np.ndarray:
     return i[b.w.piece[i] == b.w.piece[i + n - 1]]
 
 
-def _starts(sorted_keys: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))) if len(sorted_keys) else np.zeros(0, np.int64)
-
-
-def _weighted(h: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes and their weights; most chunks occur once, and those are only sorted and counted."""
-    once = np.sort(h[times == 1])
-    at = _starts(once)
-    h, t = h[times > 1], times[times > 1]
+def _counted(b: Block, i: np.ndarray, n: int) -> pa.RecordBatch:
+    """``h, c, n, at``: the different runs of ``n`` words among those from the words ``i`` on, by 96 bits of hash, with their weights and their least place."""
+    h = b.w.hashes(i, i + n - 1, b.salt[i])
     order = np.argsort(h)
-    h, t = h[order], t[order]
-    more = _starts(h)
-    return (np.concatenate([once[at], h[more]]),
-            np.concatenate([np.diff(np.append(at, len(once))), np.add.reduceat(t, more) if len(more) else t]))
+    h, i = h[order], i[order]
+    c = b.checks(i, i + n - 1)
+    start = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))) if len(h) else np.zeros(0, np.int64)
+    total, at = (np.add.reduceat(b.times[i], start), np.minimum.reduceat(b.at[i], start)) if len(h) else (b.times[i], b.at[i])
+    return pa.RecordBatch.from_arrays([pa.array(h[start].view(np.int64)), pa.array(c[start]), pa.array(total), pa.array(at)], ["h", "c", "n", "at"])
 
 
 def _passes(filters: np.ndarray, h: np.ndarray) -> np.ndarray:
-    def bit(g: np.ndarray) -> np.ndarray:
-        return filters[(g >> np.uint64(44)).astype(np.int64)] >> (g >> np.uint64(38) & np.uint64(63)) & np.uint64(1)
-
-    return (bit(h) & bit(h << np.uint64(26))).astype(bool)
+    return _bit(filters, h) & _bit(filters, h << np.uint64(26))
 
 
 def _frequent_runs(b: Block, filters: dict[int, np.ndarray], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -226,13 +227,25 @@ def _frequent_runs(b: Block, filters: dict[int, np.ndarray], longest: int) -> It
         yield n, i, h
 
 
-def _frequent_filter(entries: DataFrame, n: int, filters: dict, least: int) -> np.ndarray:
-    """Which hashes of ``n`` words reach ``least``, as a bit field of fixed size.
+def _field(hashes: DataFrame) -> np.ndarray:
+    """The longs ``h``, by their upper 26 bits, as a bit field of fixed size."""
+    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 38) & 63 as int))")
+    words = hashes.groupBy(F.shiftrightunsigned("h", 44).alias("at")).agg(F.bit_or(bit).alias("bits")).toPandas()  # FILTER_WORDS rows at most
+    out = np.zeros(FILTER_WORDS, np.int64)
+    out[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return out.view(np.uint64)
+
+
+def _bit(field: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return (field[(h >> np.uint64(44)).astype(np.int64)] >> (h >> np.uint64(38) & np.uint64(63)) & np.uint64(1)).astype(bool)
 
-    Hashes are counted, not phrases: the sum of a hash is at least that of each phrase behind it, so no frequent phrase fails. Only runs
-    whose two shorter parts pass are counted at all.
+
+def _frequent_hashes(entries: DataFrame, n: int, known: np.ndarray | None, least: int) -> DataFrame:
+    """``h, c, n, at, size`` of the runs of ``n`` words that reach ``least``: 96 bits of hash, their count, and the place of a chunk that has one.
+
+    Only runs whose two shorter parts pass the filter ``known`` are counted at all.
     """
-    shared = entries.sparkSession.sparkContext.broadcast(filters.get(n - 1))
+    shared = entries.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -241,56 +254,49 @@ def _frequent_filter(entries: DataFrame, n: int, filters: dict, least: int) -> n
             if known is not None:
                 i = i[_passes(known, b.w.hashes(i, i + n - 2, b.salt[i]))]
                 i = i[_passes(known, b.w.hashes(i + 1, i + n - 1, b.salt[i]))]
-            h, total = _weighted(b.w.hashes(i, i + n - 1, b.salt[i]), b.times[i])
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(total)], ["h", "n"])
+            yield _counted(b, i, n)
 
-    often = _lines(entries).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 38) & 63 as int))")
-    often = often.select(F.explode(F.array("h", F.shiftleft("h", 26))).alias("h"))
-    words = often.groupBy(F.shiftrightunsigned("h", 44).alias("at")).agg(F.bit_or(bit).alias("bits")).toPandas()  # FILTER_WORDS rows at most
-    out = np.zeros(FILTER_WORDS, np.int64)
-    out[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return out.view(np.uint64)
+    counted = _lines(entries).mapInArrow(run, "h long, c int, n long, at int").groupBy("h", "c").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
+    return counted.where(F.col("n") >= least).withColumn("size", F.lit(n))
 
 
 def frequencies(entries: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
-    """``lang, phrase, size, f`` of every phrase of 1 to ``longest`` words with at least ``least`` occurrences, exactly.
+    """``lang, phrase, size, f`` of every phrase of 1 to ``longest`` words with at least ``least`` occurrences.
 
-    Length by length, hashes are counted to rule out what cannot be frequent; one last pass counts the phrases that are
-    left, by their words.
+    Length by length, runs are counted by 96 bits of hash, and what is not frequent rules out what is longer. A count carries one place of
+    its phrase, so that the words are cut out there only: the rows of the last pass grow with the frequent phrases, not with the tasks that hold each.
     """
     filters: dict[int, np.ndarray] = {}
+    often = []
     for n in range(1, longest + 1):
-        filters[n] = _frequent_filter(entries, n, filters, least)
-    shared = entries.sparkSession.sparkContext.broadcast(filters)  # FILTER_WORDS words a length
+        often.append(freeze(_frequent_hashes(entries, n, filters.get(n - 1), least), "often"))
+        filters[n] = _field(often[-1].select(F.explode(F.array("h", F.shiftleft("h", 26))).alias("h")))
+    wanted = reduce(DataFrame.unionByName, often)
+    places = _field(wanted.select(F.shiftleft(F.col("at").cast("long"), 32).alias("h")))
+    shared = entries.sparkSession.sparkContext.broadcast((filters, places))  # FILTER_WORDS words a length, and as many
 
-    def rows(found: dict) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in found], pa.string()), pa.array([k[2] for k in found], pa.binary()).cast(pa.string()),
-             pa.array([k[1] for k in found], pa.int32()), pa.array(list(found.values()), pa.int64())], ["lang", "phrase", "size", "f"])
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(_bit(shared.value[1], b.column(4).to_numpy().astype(np.uint64) << np.uint64(32))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, found = shared.value, {}
-        for b in _blocks(batches):
+        for b in _blocks(placed(batches)):
             raw = b.w.b.tobytes()
-            for n, i, h in _frequent_runs(b, known, longest):
-                # Equal runs of a block are added up before their words are cut out: 128 bits of hash and the length tell runs apart.
-                order = np.lexsort((b.w.lengths(i, i + n - 1), b.w.hashes(i, i + n - 1, ~b.salt[i], 1), h))
-                i, h = i[order], h[order]
-                second, size = b.w.hashes(i, i + n - 1, ~b.salt[i], 1), b.w.lengths(i, i + n - 1)
-                at = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (second[1:] != second[:-1]) | (size[1:] != size[:-1])))) if len(h) else np.zeros(0, np.int64)
-                total = np.add.reduceat(b.times[i], at) if len(at) else at
-                i = i[at]
-                for g, a, z, t in zip(b.lang[i].tolist(), b.w.start[i].tolist(), b.w.end[i + n - 1].tolist(), total.tolist()):
-                    k = b.langs[g], n, raw[a:z]
-                    found[k] = found.get(k, 0) + t
-            if len(found) > 500_000:
-                yield rows(found)
-                found = {}
-        yield rows(found)
-
-    counted = _lines(entries).mapInArrow(run, "lang string, phrase string, size int, f long").groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
-    return counted.where(F.col("f") >= least)
+            for n, i, h in _frequent_runs(b, shared.value[0], longest):
+                c = b.checks(i, i + n - 1)
+                order = np.lexsort((b.at[i], c, h))
+                i, h, c = i[order], h[order], c[order]
+                at = b.at[i]
+                new = np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1]) | (at[1:] != at[:-1])))[:len(h)]
+                i, h, c, at = i[new], h[new], c[new], at[new]
+                phrases = [raw[x:z] for x, z in zip(b.w.start[i].tolist(), b.w.end[i + n - 1].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b.langs[g] for g in b.lang[i].tolist()], pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(h.view(np.int64)),
+                     pa.array(c), pa.array(at), pa.array(np.full(len(i), n, np.int32))], ["lang", "phrase", "h", "c", "at", "size"])
+
+    found = _lines(entries).mapInArrow(run, "lang string, phrase string, h long, c int, at int, size int")
+    # Chunks that share a place may give a phrase twice.
+    return found.join(wanted, ["h", "c", "at", "size"]).groupBy("lang", "phrase", "size").agg(F.max("n").alias("f"))
 
 
 def _part(first, count):
