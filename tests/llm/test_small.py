@@ -640,6 +640,31 @@ def test_line_dedup_keeps_only_its_groups(spark, awkward):
     assert sorted(map(str, once)) == sorted(map(str, twice)) and any(r.removed for r in once)
 
 
+def test_only_kept_steps_leave_no_shuffle_files(spark):
+    """Shuffle files of the steps go when their step has ended, also if the work fails; the session's setting is put back."""
+    import glob
+
+    from txlab import session
+
+    top = spark.conf.get("spark.local.dir", None) or spark._jvm.java.lang.System.getProperty("java.io.tmpdir")
+    setting = spark.conf.get(session.SWEEP, None)
+
+    def files():
+        return set(glob.glob(f"{top}/**/blockmgr-*/*/shuffle_*.data", recursive=True))
+
+    def work():
+        step = session.freeze(spark.range(1000).repartition(3, "id"), "step")
+        assert files() <= before
+        return step.groupBy((F.col("id") % 7).alias("k")).count()
+
+    before = files()
+    assert sorted(map(tuple, session.freeze_only(spark, work).collect())) == sorted((k, 143 - (k == 6)) for k in range(7))
+    assert files() <= before and spark.conf.get(session.SWEEP, None) == setting
+    with pytest.raises(ZeroDivisionError):
+        session.freeze_only(spark, lambda: 1 / 0)
+    assert spark.conf.get(session.SWEEP, None) == setting
+
+
 def test_pipeline_links_fingerprints(spark, tmp_path):
     """Fingerprints count repeats, sets of shingles do not: texts with one much repeated passage are close in the former only."""
     passage = " ".join(f"w{k}" for k in range(9)) + " "
