@@ -293,6 +293,52 @@ def test_recall_of_line_groups(spark):
     assert sum(v for (k, same), v in found.items() if same) > 0 and lines.groups_by_similarity(docs.where("false"), "doc_id").count() == 0
 
 
+def test_short_lines_are_compared_where_they_meet(spark, monkeypatch):
+    """Of pairs of short lines none is named and fetched again from the documents, and groups are those of all pairs that share a band."""
+    r, asked = random.Random(5), []
+    made = ["".join(r.choice(["the", "an", "on", "ti", "re", "ü", " "]) for _ in range(24))[:40].strip() for _ in range(90)]
+    made += [x[:9] + "z" + x[10:] for x in made[:30]] + [x[3:] + "s" for x in made[30:40]]
+    texts = sorted({plain_line(x) for x in made})
+    docs = frame(spark, [(k, t, "s") for k, t in enumerate(texts)] + [(1000, "word " * 30 + "one", "s"), (1001, "word " * 30 + "two", "s")])
+    before = lines._verified
+
+    def verified(docs, key, text, nodes, pairs, similarity):
+        asked.append(pairs.count())
+        return before(docs, key, text, nodes, pairs, similarity)
+
+    monkeypatch.setattr(lines, "_verified", verified)
+    group = {x.key: x.group for x in lines.groups_by_similarity(docs, "doc_id").collect()}
+    assert len(asked) == 2 and sum(asked) <= 1 and group[1000] == group[1001]
+    every, rows = lines.line_sketches(docs, "doc_id")
+    numbers = {x.n: x.key for x in every.collect() if x.key < 1000}
+    met = {}
+    for x in rows.collect():
+        met.setdefault(x.v, set()).add(numbers.get(x.n, -1))
+    low = {k: k for k in range(len(texts))}
+    tried = {tuple(sorted(p)) for m in met.values() for p in itertools.combinations(m - {-1}, 2)}
+    for a, b in tried:
+        if abs(len(texts[a]) - len(texts[b])) <= 16 and levenshtein(texts[a], texts[b]) <= int(0.2 * max(len(texts[a]), len(texts[b]))):
+            low = {n: min(low[a], low[b]) if g in (low[a], low[b]) else g for n, g in low.items()}
+    assert len(tried) > len(low) - len(set(low.values())) > 10
+    assert len({(group[k], low[k]) for k in low}) == len(set(low.values())) == len({group[k] for k in low})
+
+
+def test_counts_of_letters_rule_out_no_like_lines(spark):
+    r = random.Random(6)
+    pairs = []
+    for _ in range(300):
+        a = "".join(r.choice("etaonihs rdlüö|0zб") for _ in range(r.randint(1, 80)))
+        b = list(a)
+        for _ in range(r.randint(0, 20)):
+            at = r.randrange(len(b) + 1)
+            b[at:at + r.randint(0, 1)] = r.choice([[], ["e"], ["x"], ["б"]])
+        pairs.append((a, "".join(b), levenshtein(a, "".join(b))))
+    d = spark.createDataFrame(pairs, "a string, b string, most int")
+    counted = d.select("most", F.struct(*lines._counts("a")).alias("p"), F.struct(*lines._counts("b")).alias("q"))
+    got = counted.selectExpr("most", *[f"{lines._few_left(x, y, 'most')} AS k{x}" for x, y in ("pq", "qp")], f"{lines._few_left('p', 'q', '0')} AS same").collect()
+    assert all(x.kp and x.kq for x in got) and any(not x.same for x in got)
+
+
 @pytest.mark.parametrize("lane,n", [(8, 1), (8, 2), (8, 127), (16, 128), (16, 32_767), (32, 32_768)])
 def test_fingerprint_lanes(spark, lane, n):
     hashes = F.expr("transform(sequence(1, n), i -> IF(n % 2 = 1, -1L, xxhash64(i)))").alias("xs")
