@@ -711,6 +711,13 @@ def test_only_kept_steps_leave_no_shuffle_files(spark):
     assert spark.conf.get(session.SWEEP, None) == setting
 
 
+def test_tables_taken_apart_are_not_broadcast(spark, tmp_path):
+    """A table of fingerprints is small before its balls are taken apart and 66 times as long after: it must not go through the driver."""
+    spark.range(300).select(F.xxhash64("id").alias("fp")).write.parquet(str(tmp_path / "nodes"))
+    plan = simhash.links(spark.read.parquet(str(tmp_path / "nodes")))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_pipeline_links_fingerprints(spark, tmp_path):
     """Fingerprints count repeats, sets of shingles do not: texts with one much repeated passage are close in the former only."""
     passage = " ".join(f"w{k}" for k in range(9)) + " "

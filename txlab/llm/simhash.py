@@ -101,7 +101,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, segments: int = 2) -> DataFr
     near = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance
     # Equal segments meet under their own value and again under each changed one: only the first counts.
     once = (F.col("a.m") != F.col("b.m")) | (F.col("a.m") == 0)
-    return (a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.v") == F.col("b.v")) & (F.col("a.fp") < F.col("b.fp")) & near & once)
+    # Spark reckons with the bytes before the balls are taken apart and would send a table 66 times as long through the driver.
+    return (a.join(b.hint("merge"), (F.col("a.k") == F.col("b.k")) & (F.col("a.v") == F.col("b.v")) & (F.col("a.fp") < F.col("b.fp")) & near & once)
             .select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct())
 
 
