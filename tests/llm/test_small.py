@@ -711,6 +711,43 @@ def test_only_kept_steps_leave_no_shuffle_files(spark):
     assert spark.conf.get(session.SWEEP, None) == setting
 
 
+def light_lines(n):
+    """Lines of the same 250 short words, each with a long word of its own, which alone is in its min-hashes."""
+    light = ["".join(x) for x in itertools.islice(itertools.product("bcdfghklmnprst", "aeiou", "lmnrst"), 250)]
+    return [" ".join([*light[:125], "".join(random.Random(k).choice("abcdefgh") for _ in range(9)), *light[125:]]) for k in range(n)]
+
+
+def test_pipeline_links_line_fingerprints(spark, tmp_path):
+    """Lines that agree in nearly all words but share no band of min-hashes are found by their fingerprints."""
+    texts = light_lines(8)
+    docs = frame(spark, [(k, t, "s") for k, t in enumerate(texts)] + [(20, "Another line altogether, which has no like.", "s")])
+    want = {x.key: x.group for x in lines.groups(docs, "doc_id").collect()}
+    got = {x.key: x.group for x in lines.groups_by_similarity(docs, "doc_id").collect()}
+    assert len(set(want.values())) == 2 and got == want
+    kept = corpus_pipeline.line_dedup(spark, docs.select(*corpus_pipeline.COLUMNS), str(tmp_path))
+    assert {x.doc_id for x in kept.collect()} == {0, 20}
+    _, rows = lines.line_sketches(docs, "doc_id")
+    assert rows.where("fp IS NULL").groupBy("v").count().where("count > 1").count() == 0
+
+
+def test_long_texts_are_compared_along_shared_pieces(spark):
+    """The distance along shared pieces is never below the least, mostly near it, and the verdict is that of the least."""
+    r, pairs = random.Random(14), []
+    for k in range(120):
+        ws = prose(k, r.choice((10, 30, 60, 200)))[:-1].split(" ")
+        made = list(ws)
+        for _ in range(r.randint(0, len(ws) // 3)):
+            at = r.randrange(len(made) + 1)
+            made[at:at + r.randint(0, 1)] = r.choice([[], ["ünd"], prose(r.random(), r.randint(1, 4))[:-1].split(" ")])
+        pairs.append((" ".join(ws), " ".join(made)))
+    pairs += [(prose(1000 + k, 40), prose(2000 + k, 40)) for k in range(10)] + [("", ""), ("a", ""), ("ab " * 60, "ab " * 60), ("ab " * 60, "ba " * 60)]
+    d = spark.createDataFrame([(k, a, b, levenshtein(a, b)) for k, (a, b) in enumerate(pairs)], "k int, a string, b string, d int")
+    got = d.withColumn("most", F.expr(lines._at_most("a", "b"))).collect()
+    assert all(x.most >= x.d for x in got) and sum(x.most <= 1.2 * x.d + 2 for x in got) > 60
+    like = {x.k for x in got if x.d <= int(0.2 * max(len(x.a), len(x.b)))}
+    assert {x.k for x in lines._alike(d, "a", "b", 0.8).collect()} == like and 20 < len(like) < 110
+
+
 def test_tables_taken_apart_are_not_broadcast(spark, tmp_path):
     """A table of fingerprints is small before its balls are taken apart and 66 times as long after: it must not go through the driver."""
     spark.range(300).select(F.xxhash64("id").alias("fp")).write.parquet(str(tmp_path / "nodes"))
